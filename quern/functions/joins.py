@@ -5,16 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.session import ensure_checkpoint_dir
+
 MAX_BROADCAST_ROWS = 200_000
 
 
 def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``max_rows`` rows, else unchanged.
+    """``df``, computed once, marked for broadcast if it has at most ``max_rows`` rows.
 
-    Meant for narrow frames.  Unmarked frames are joined by sort-merge, where adaptive execution splits
+    Meant for narrow frames such as one row per group.  The frame is checkpointed, so the check and the
+    join share one evaluation.  A larger frame is joined by sort-merge, where adaptive execution splits
     hot keys of the other side.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    ensure_checkpoint_dir(df.sparkSession)
+    done = df.checkpoint()
+    return F.broadcast(done) if done.count() <= max_rows else done
 
 
 def match_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -24,3 +29,12 @@ def match_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "i
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
     return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Even out the rows before heavy per-row work, but only if there are fewer partitions than cores.
+
+    Large inputs have far more partitions than that and are left where they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -18,22 +18,27 @@ MAX_TASK_ROWS = 4_000_000
 
 
 def running_sums(df: DataFrame, order: Sequence[str], sums: Mapping[str, str | Column],
-                 groups: Sequence[str] = (), max_task_rows: int = MAX_TASK_ROWS) -> DataFrame:
+                 groups: Sequence[str] = (), max_task_rows: int = MAX_TASK_ROWS,
+                 at_most: int | None = None) -> DataFrame:
     """Add, per output name, the sum of its input over the earlier rows of the row's group.
 
-    ``groups + order`` must be unique.  The input is checkpointed once: range bounds are sampled, so
-    both uses of the slices have to read the same rows.
+    ``groups + order`` must be unique.  ``at_most`` is a known bound on the rows; without it the input is
+    checkpointed and counted.  Range bounds are sampled, so slices are checkpointed before they are used
+    twice.
     """
     ensure_checkpoint_dir(df.sparkSession)
     groups, order = list(groups), list(order)
     work = {f"_in_{name}": F.expr(c) if isinstance(c, str) else c for name, c in sums.items()}
     keep = df.columns
-    df = df.withColumns(work).checkpoint()
+    df = df.withColumns(work)
+    if at_most is None:
+        df = df.checkpoint()
+        at_most = df.count()
 
     def before(window):
         return {name: F.coalesce(F.sum(f"_in_{name}").over(window), F.lit(0)) for name in sums}
 
-    if df.count() <= max_task_rows:
+    if at_most <= max_task_rows:
         window = Window.partitionBy(*groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumns(before(window)).select(*keep, *sums)
 
@@ -56,9 +61,9 @@ def running_sums(df: DataFrame, order: Sequence[str], sums: Mapping[str, str | C
 
 
 def row_numbers(df: DataFrame, order: Sequence[str], out: str, groups: Sequence[str] = (),
-                max_task_rows: int = MAX_TASK_ROWS) -> DataFrame:
+                max_task_rows: int = MAX_TASK_ROWS, at_most: int | None = None) -> DataFrame:
     """1, 2, 3, ... within each group; ``groups + order`` must be unique."""
-    counted = running_sums(df, order, {out: F.lit(1).cast("long")}, groups, max_task_rows)
+    counted = running_sums(df, order, {out: F.lit(1).cast("long")}, groups, max_task_rows, at_most)
     return counted.withColumn(out, F.col(out) + 1)
 
 
@@ -72,8 +77,9 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
               .unpivot([], list(columns), "column", "value")
               .where(F.col("value").isNotNull() & ~F.isnan("value")))
     counts = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("copies"))
-    placed = running_sums(counts, ["value"], {"below": "copies"}, ["column"], max_task_rows)
-    totals = placed.groupBy("column").agg(F.sum("copies").alias("n"))
+    placed = running_sums(counts, ["value"], {"below": "copies"}, ["column"], max_task_rows,
+                          df.count() * len(columns))
+    totals = values.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
     placed = placed.join(F.broadcast(totals), "column")  # one row per named column
 
     def at(position: Column) -> Column:

@@ -48,7 +48,7 @@ def plan_tiles(df: DataFrame, width: str, height: str, size: int = INPUT_SIZE, h
 def tile_boxes(planned: DataFrame, size: int = INPUT_SIZE, thumbnail: bool = False) -> DataFrame:
     """One row per tile, row by row: ``tile, x0, y0, x1, y1``; optionally a last row for the whole image."""
     last = F.col("blocks") - 1 + (F.when(F.col("blocks") > 1, 1).otherwise(0) if thumbnail else 0)
-    tiles = planned.withColumn("tile", F.explode(F.sequence(F.lit(0), last)))
+    tiles = planned.withColumn("tile", F.explode_outer(F.sequence(F.lit(0), last)))
     extra = F.col("tile") == F.col("blocks")
     x, y = F.col("tile") % F.col("tiles_x"), F.floor(F.col("tile") / F.col("tiles_x")).cast("int")
     return tiles.withColumns({

@@ -119,34 +119,33 @@ def regularize(df: DataFrame, keys: Sequence[str], linear: int = IMPUTE_LINEAR,
     window of ``rolling + 2 * linear`` days that holds at least ``2 * linear`` values.  ``df`` must be daily.
     """
     keys = list(keys)
-    span = df.groupBy(*keys).agg(F.min("ds").alias("_from"), F.max("ds").alias("_to"))
-    grid = span.select(*keys, F.explode(F.sequence("_from", "_to")).alias("ds"))
-    full = grid.join(df.select(*keys, "ds", "y"), [*keys, "ds"], "left")
-
     series = Window.partitionBy(*keys).orderBy("ds")
-    past = series.rowsBetween(Window.unboundedPreceding, 0)
-    future = series.rowsBetween(0, Window.unboundedFollowing)
-    known_day = F.when(F.col("y").isNotNull(), F.col("ds"))
-    full = full.withColumns({
-        "_yp": F.last("y", ignorenulls=True).over(past), "_dp": F.last(known_day, ignorenulls=True).over(past),
-        "_yn": F.first("y", ignorenulls=True).over(future), "_dn": F.first(known_day, ignorenulls=True).over(future)})
-    back, ahead = F.datediff("ds", "_dp"), F.datediff("_dn", "ds")
-    between = F.col("_yp") + (F.col("_yn") - F.col("_yp")) * back / (back + ahead)
-    near = (back <= linear) | (ahead <= linear)
-    line = (F.when(F.col("y").isNotNull(), F.col("y"))
-            .when(back.isNotNull() & ahead.isNotNull(), F.when(near, between))
-            .when(back <= linear, F.col("_yp")).when(ahead <= linear, F.col("_yn")))
-    full = full.withColumn("_line", line)
+    whole = Window.partitionBy(*keys)
+    rows = df.select(*keys, "ds", "y").withColumns({
+        "_from": F.min("ds").over(whole), "_to": F.max("ds").over(whole), "_known": F.count("y").over(whole)})
+    # Each known day covers the days up to the next known one, so a day and its neighbours are made
+    # together: the calendar is never joined and no second pass looks ahead.
+    rows = rows.where(F.col("y").isNotNull() | ((F.col("_known") == 0) & (F.col("ds") == F.col("_from"))))
+    rows = rows.withColumns({"_yn": F.lead("y").over(series), "_dn": F.lead("ds").over(series),
+                             "_first": F.lag("ds").over(series).isNull()})
+    begin = F.when(F.col("_first"), F.col("_from")).otherwise(F.col("ds"))
+    until = F.coalesce(F.date_sub("_dn", 1), F.col("_to"))
+    full = rows.withColumn("_day", F.explode_outer(F.sequence(begin, until)))
+    back, ahead = F.datediff("_day", "ds"), F.datediff("_dn", "_day")  # back < 0 before the first known day
+    line = (F.when(back < 0, F.when(-back <= linear, F.col("y")))
+            .when(back == 0, F.col("y"))
+            .when(F.col("_dn").isNull(), F.when(back <= linear, F.col("y")))
+            .when((back <= linear) | (ahead <= linear), F.col("y") + (F.col("_yn") - F.col("y")) * back / (back + ahead)))
+    full = full.select(*keys, F.col("_day").alias("ds"), F.when(back == 0, F.col("y")).alias("y"), line.alias("_line"))
 
     # The frame of 2 * linear + rolling rows is a difference of running totals: one addition per row.
+    past = series.rowsBetween(Window.unboundedPreceding, 0)
     size = rolling + 2 * linear
     behind, front = size // 2, (size - 1) // 2
-    full = full.withColumns({"_sum": F.sum("_line").over(past), "_cnt": F.count("_line").over(past),
-                             "_row": F.row_number().over(series)})
-    everything = series.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    full = full.withColumns({"_sum": F.sum("_line").over(past), "_cnt": F.count("_line").over(past)})
     full = full.withColumns({
-        "_sum_to": F.coalesce(F.lead("_sum", front).over(series), F.last("_sum").over(everything)),
-        "_cnt_to": F.coalesce(F.lead("_cnt", front).over(series), F.last("_cnt").over(everything)),
+        "_sum_to": F.coalesce(F.lead("_sum", front).over(series), F.sum("_line").over(whole)),
+        "_cnt_to": F.coalesce(F.lead("_cnt", front).over(series), F.count("_line").over(whole)),
         "_sum_from": F.coalesce(F.lag("_sum", behind + 1).over(series), F.lit(0.0)),
         "_cnt_from": F.coalesce(F.lag("_cnt", behind + 1).over(series), F.lit(0))})
     held = F.col("_cnt_to") - F.col("_cnt_from")
@@ -173,16 +172,19 @@ def relative_time(day: Column, first: Column, last: Column) -> Column:
 
 
 def _train_range(df: DataFrame, group: str, days: int) -> DataFrame:
-    """The group's last day, and the first and last day before its cut, from one aggregation by day."""
-    by_day = df.groupBy(group, "ds").agg(F.lit(1).alias("_one"))
-    return (_with_last_day(by_day, group).where(F.col("ds") < F.date_sub("_last", days))
-            .groupBy(group).agg(F.min("ds").alias("_from"), F.max("ds").alias("_to")))
+    """Per group: last day, first and last day before the cut, largest absolute ``y``.  One pass over ``df``."""
+    whole = Window.partitionBy(group)  # one row per calendar day
+    by_day = df.groupBy(group, "ds").agg(F.max(F.abs("y")).alias("_y")).withColumn("_last", F.max("ds").over(whole))
+    train_day = F.when(F.col("ds") < F.date_sub("_last", days), F.col("ds"))
+    return by_day.groupBy(group).agg(F.max("_last").alias("_last"), F.min(train_day).alias("_from"),
+                                     F.max(train_day).alias("_to"), F.max("_y").alias("_top"))
 
 
 def trend_basis(df: DataFrame, group: str, n: int = N_CHANGEPOINTS, days: int = TEST_DAYS) -> DataFrame:
     """Relative time ``t`` and hinge columns ``hinge_1 .. hinge_n`` = max(t - changepoint, 0)."""
     ranged = joins.match_keys(df, joins.small_side(_train_range(df, group, days)), [group])
-    ranged = ranged.withColumn("t", relative_time(F.col("ds"), F.col("_from"), F.col("_to"))).drop("_from", "_to")
+    ranged = ranged.withColumn("t", relative_time(F.col("ds"), F.col("_from"), F.col("_to")))
+    ranged = ranged.drop("_last", "_from", "_to", "_top")
     return ranged.withColumns({f"hinge_{i}": F.greatest(F.col("t") - F.lit(c), F.lit(0.0))
                                for i, c in enumerate(changepoints(n), 1)})
 
@@ -242,11 +244,8 @@ SEARCH_SPACE = {
 def design(panel: DataFrame, n_changepoints: int = N_CHANGEPOINTS, n_lags: int = N_LAGS,
            days: int = TEST_DAYS) -> DataFrame:
     """Regular daily rows ``model_num, ID, ds, y, y_filled, lag_*, t, train, scale``."""
-    ranges = panel.groupBy("model_num").agg(F.max("ds").alias("_last"), F.max(F.abs("y")).alias("_top"))
-    train = _train_range(panel, "model_num", days)
-    ranges = joins.match_keys(ranges, train, ["model_num"], "left")
     rows = add_lags(regularize(panel, ["model_num", "ID"]), ["model_num", "ID"], n_lags)
-    rows = joins.match_keys(rows, joins.small_side(ranges), ["model_num"])
+    rows = joins.match_keys(rows, joins.small_side(_train_range(panel, "model_num", days)), ["model_num"])
     return rows.select(
         "model_num", "ID", "ds", "y", "y_filled", *[f"lag_{k}" for k in range(1, n_lags + 1)],
         F.coalesce(relative_time(F.col("ds"), F.col("_from"), F.col("_to")), F.lit(0.0)).alias("t"),

@@ -194,7 +194,9 @@ def params_long(df: DataFrame, keys: Sequence[str], names: Sequence[str], digits
 
     def shown(name: str) -> Column:
         kind = df.schema[name].dataType.typeName()
-        return F.format_string(f"%.{digits}f", F.col(name)) if kind in ("double", "float") else F.col(name).cast("string")
+        if kind not in ("double", "float"):
+            return F.col(name).cast("string")
+        return F.when(F.col(name).isNotNull(), F.format_string(f"%.{digits}f", F.col(name)))
 
     typed = df.select(*keys, *[shown(n).alias(n) for n in names])
     return typed.unpivot(list(keys), list(names), "param", "value").where(F.col("value").isNotNull())
@@ -321,7 +323,7 @@ def suggest(log: DataFrame, group: str, param: str, loss: str, trial: str, lo: f
         bad = (others / F.col("_hb") + flat) / (F.col("_n") - F.size("_good") + 1)
         density = F.when(F.col("_n") < startup, F.lit(float(-k))).otherwise(F.log(good) - F.log(bad))
         entries.append(F.struct(F.lit(k).alias("candidate"), c.alias("value"), density.alias("density")))
-    ranked = scored.select(group, F.posexplode(F.sort_array(F.array(*[
+    ranked = scored.select(group, F.posexplode_outer(F.sort_array(F.array(*[
         F.struct((-e["density"]).alias("_o"), e["candidate"].alias("candidate"), e["value"].alias("value"),
                  e["density"].alias("density")) for e in entries]))))
     return ranked.select(group, (F.col("pos") + 1).alias("place"), "col.candidate", "col.value", "col.density")

@@ -77,7 +77,7 @@ if __name__ == "__main__":
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(contract.queries())
     spark = build_session("oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g",
-                          spark__ui__enabled="false")
+                          spark__ui__enabled="false", spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     for name in names:
