@@ -70,7 +70,7 @@ def add_revenue(df: DataFrame, price: str = "sell_price", quantity: str = "sale_
 
 
 def to_long_frame(df: DataFrame, number: str = "item_num", date: str = "date_time", keep: Sequence[str] = ()) -> DataFrame:
-    return df.withColumnsRenamed({number: "ID", date: "ds"}).select(*keep, "ID", "ds", "y")
+    return df.select(*keep, F.col(number).alias("ID"), F.col(date).alias("ds"), "y")
 
 
 def daily(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -36,8 +36,11 @@ def label_of(word: Column, rules: Mapping[str, str] = RULES) -> Column:
 
 
 def may_match(text: Column, rules: Mapping[str, str] = RULES) -> Column:
-    """False only where no rule can match; lets most texts skip the word arrays."""
-    return text.rlike(HINT if rules is RULES else "|".join(f"(?:{p})" for p in rules.values()))
+    """False only where no rule can match; lets most texts skip the word arrays.
+
+    Other rules than RULES may be anchored to the word, so for them every text is looked at.
+    """
+    return text.rlike(HINT) if rules is RULES else text.isNotNull()
 
 
 def label_words(text: Column, rules: Mapping[str, str] = RULES) -> Column:
