@@ -67,33 +67,66 @@ def row_numbers(df: DataFrame, order: Sequence[str], out: str, groups: Sequence[
     return counted.withColumn(out, F.col(out) + 1)
 
 
+ACCURACY = 10_000
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    max_task_rows: int = MAX_TASK_ROWS) -> DataFrame:
-    """Exact interpolated quantiles, one row per column: ``column, n, q_0, q_1, ...``.
+                    max_task_rows: int = MAX_TASK_ROWS, accuracy: int = ACCURACY) -> DataFrame:
+    """Exact interpolated quantiles, one row per column: ``column, n, q_0, q_1, ...``.  NaN is left out.
 
-    Equal values are counted before anything is ordered, so a hot value costs one row.
+    A first pass sketches a bracket around every quantile.  The second counts what lies below it and
+    ranks only the values inside, so a few values in ten thousand are shuffled.  A quantile outside its
+    bracket would show in the counts and is then looked for among all values.
     """
-    values = (df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-              .unpivot([], list(columns), "column", "value")
-              .where(F.col("value").isNotNull() & ~F.isnan("value")))
-    counts = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("copies"))
-    placed = running_sums(counts, ["value"], {"below": "copies"}, ["column"], max_task_rows,
-                          df.count() * len(columns))
-    totals = values.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
-    placed = placed.join(F.broadcast(totals), "column")  # one row per named column
-
-    def at(position: Column) -> Column:
-        hit = (F.col("below") <= position) & (position < F.col("below") + F.col("copies"))
-        return F.max(F.when(hit, F.col("value")))
-
-    ends = []
-    for i, p in enumerate(probs):
-        place = (F.col("n") - 1) * F.lit(float(p))
-        ends += [at(F.floor(place)).alias(f"_lo_{i}"), at(F.ceil(place)).alias(f"_hi_{i}")]
-    picked = placed.groupBy("column").agg(F.max("n").alias("n"), *ends)
-    out = []
-    for i, p in enumerate(probs):
-        place = (F.col("n") - 1) * F.lit(float(p))
-        out.append((F.col(f"_lo_{i}") + (F.col(f"_hi_{i}") - F.col(f"_lo_{i}")) * (place - F.floor(place)))
-                   .alias(f"q_{i}"))
-    return picked.select("column", "n", *out)
+    columns, probs = list(columns), list(probs)
+    held = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in columns}
+    margin = 4.0 / accuracy
+    edges = [min(max(p + side, 0.0), 1.0) for p in probs for side in (-margin, margin)]
+    sketch = df.agg(*[F.count(v).alias(f"n_{c}") for c, v in held.items()],
+                    *[F.percentile_approx(v, edges, accuracy).alias(f"e_{c}") for c, v in held.items()]).first()
+    sizes = {c: sketch[f"n_{c}"] for c in columns}
+    everything = (float("-inf"), float("inf"))
+    brackets = {(c, i): (sketch[f"e_{c}"][2 * i], sketch[f"e_{c}"][2 * i + 1]) if sizes[c] > accuracy else everything
+                for c in columns if sizes[c] for i in range(len(probs))}
+    found = _within(df, held, sizes, probs, brackets, max_task_rows)
+    missed = {slot: everything for slot in brackets if slot not in found}
+    if missed:
+        found.update(_within(df, held, sizes, probs, missed, max_task_rows))
+    rows = [(c, sizes[c], *[found.get((c, i)) for i in range(len(probs))]) for c in columns]
+    return df.sparkSession.createDataFrame(
+        rows, ", ".join(["column string", "n bigint"] + [f"q_{i} double" for i in range(len(probs))]))
+
+
+def _within(df: DataFrame, held: Mapping[str, Column], sizes: Mapping[str, int], probs: Sequence[float],
+            brackets: Mapping[tuple[str, int], tuple[float, float]], max_task_rows: int) -> dict:
+    """The quantiles that lie in their bracket, by (column, index of the probability)."""
+    if not brackets:
+        return {}
+    slots = list(brackets)
+    below = float("-inf")
+
+    def entry(k: int) -> Column:
+        value = held[slots[k][0]]
+        low, high = brackets[slots[k]]
+        key = F.when(value < F.lit(low), F.lit(below)).when(value <= F.lit(high), value)
+        return F.struct(F.lit(k).alias("slot"), key.alias("key"))
+
+    keys = df.select(F.inline(F.array(*[entry(k) for k in range(len(slots))]))).where(F.col("key").isNotNull())
+    counts = keys.groupBy("slot", "key").agg(F.count(F.lit(1)).alias("copies"))
+    total = sum(sizes[c] for c, _ in slots)
+    placed = running_sums(counts, ["key"], {"before": "copies"}, ["slot"], max_task_rows,
+                          total if total <= max_task_rows else None)
+    place = [(sizes[c] - 1) * probs[i] for c, i in slots]
+    spots = F.array(*[F.lit(float(x)) for x in place])[F.col("slot")]
+
+    def at(spot: Column) -> Column:
+        return F.max(F.when((F.col("before") <= spot) & (spot < F.col("before") + F.col("copies")), F.col("key")))
+
+    picked = placed.groupBy("slot").agg(at(F.floor(spots)).alias("low"), at(F.ceil(spots)).alias("high")).collect()
+    out = {}
+    for r in picked:
+        low, high = r["low"], r["high"]
+        if low is not None and high is not None and low >= brackets[slots[r["slot"]]][0]:
+            x = place[r["slot"]]
+            out[slots[r["slot"]]] = low if low == high else low + (high - low) * (x - int(x))
+    return out

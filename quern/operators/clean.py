@@ -60,13 +60,13 @@ def domains(df: DataFrame, names: Sequence[str]) -> DataFrame:
 def profile(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """count, mean, sample stddev, min, exact quartiles and max per numeric column."""
     quartiles = ordering.exact_quantiles(df, names, [0.25, 0.5, 0.75])
-    long = (df.select(*[F.col(c).cast("double").alias(c) for c in names])
-            .unpivot([], list(names), "column", "value").where(F.col("value").isNotNull()))
-    stats = long.groupBy("column").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev("value").alias("stddev"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
+    held = {c: F.col(c).cast("double") for c in names}
+    moments = df.agg(*[F.struct(F.lit(c).alias("column"), F.count(v).alias("count"), F.avg(v).alias("mean"),
+                                F.stddev(v).alias("stddev"), F.min(v).alias("min"), F.max(v).alias("max")).alias(c)
+                       for c, v in held.items()])
+    stats = moments.select(F.inline(F.array(*[F.col(c) for c in names])))
     return stats.join(F.broadcast(quartiles.select(  # one row per named column
-        "column", F.col("q_0").alias("p25"), F.col("q_1").alias("p50"), F.col("q_2").alias("p75"))), "column")
+        "column", F.col("q_0").alias("p25"), F.col("q_1").alias("p50"), F.col("q_2").alias("p75"))), "column", "left")
 
 
 def append(real: DataFrame, synthetic: DataFrame) -> DataFrame:

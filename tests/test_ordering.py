@@ -36,16 +36,32 @@ def test_row_numbers_sliced_are_dense(rows):
 
 
 @pytest.mark.parametrize("limit", [0, 10_000])
-def test_exact_quantiles(spark, limit):
+@pytest.mark.parametrize("accuracy", [4, 20, 10_000])
+def test_exact_quantiles(spark, limit, accuracy):
     values = np.random.default_rng(1).integers(0, 50, 999).astype(float)
     df = spark.createDataFrame([(float(v), float(-v) if i % 3 else None) for i, v in enumerate(values)], "a double, b double")
-    got = {r["column"]: r for r in ordering.exact_quantiles(df, ["a", "b"], [0.1, 0.5, 0.75], limit).collect()}
+    got = {r["column"]: r for r in ordering.exact_quantiles(df, ["a", "b"], [0.1, 0.5, 0.75], limit, accuracy).collect()}
     other = [-v for i, v in enumerate(values) if i % 3]
     for name, data in (("a", values), ("b", other)):
         assert got[name]["n"] == len(data)
         assert [got[name][f"q_{i}"] for i in range(3)] == pytest.approx(list(np.quantile(data, [0.1, 0.5, 0.75])))
 
 
+def test_quantiles_of_empty_and_special_columns(spark):
+    df = spark.createDataFrame([(None, float("nan"), float("-inf")), (None, 2.0, 1.0), (None, 3.0, 2.0)], "a double, b double, c double")
+    got = {r["column"]: r for r in ordering.exact_quantiles(df, ["a", "b", "c"], [0.0, 0.5]).collect()}
+    assert (got["a"]["n"], got["a"]["q_0"]) == (0, None)
+    assert (got["b"]["n"], got["b"]["q_0"], got["b"]["q_1"]) == (2, 2.0, 2.5)
+    assert (got["c"]["q_0"], got["c"]["q_1"]) == (float("-inf"), 1.0)
+
+
+def test_quantiles_shuffle_little(spark):
+    df = spark.range(60_000).select((F.col("id") * 7919 % 60_013).cast("double").alias("v"))
+    data = sorted(r["v"] for r in df.collect())
+    row = ordering.exact_quantiles(df, ["v"], [0.25, 0.5]).first()
+    assert [row["q_0"], row["q_1"]] == pytest.approx(list(np.quantile(data, [0.25, 0.5])))
+
+
 def test_draws_do_not_depend_on_partitions(spark):
     df = spark.range(500)
     u = hashing.hash_uniform(1, "id", "x").alias("u")
