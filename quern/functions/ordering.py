@@ -22,9 +22,9 @@ def running_sums(df: DataFrame, order: Sequence[str], sums: Mapping[str, str | C
                  at_most: int | None = None) -> DataFrame:
     """Add, per output name, the sum of its input over the earlier rows of the row's group.
 
-    ``groups + order`` must be unique.  ``at_most`` is a known bound on the rows; without it the input is
-    checkpointed and counted.  Range bounds are sampled, so slices are checkpointed before they are used
-    twice.
+    ``groups + order`` must be unique.  ``at_most`` is a known bound on the rows, for a plain scan its
+    count; without it the input is checkpointed and counted, which suits inputs that are costly to
+    compute twice.  Range bounds are sampled, so slices are checkpointed before they are used twice.
     """
     ensure_checkpoint_dir(df.sparkSession)
     groups, order = list(groups), list(order)
@@ -42,7 +42,7 @@ def running_sums(df: DataFrame, order: Sequence[str], sums: Mapping[str, str | C
         window = Window.partitionBy(*groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumns(before(window)).select(*keep, *sums)
 
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-at_most // max_task_rows))
     sliced = (df.repartitionByRange(parts, *groups, *order)
               .withColumn("_slice", F.spark_partition_id()).checkpoint())
     totals = sliced.groupBy(*groups, "_slice").agg(*[F.sum(c).alias(c) for c in work])

@@ -6,7 +6,7 @@ the length of the calendar however many raw rows the series has.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -26,6 +26,7 @@ CHANGEPOINT_RANGE = 0.8
 IMPUTE_LINEAR = 10
 IMPUTE_ROLLING = 1000
 SERIES_PER_MODEL = 100
+MAX_GROUP_ROWS = 2_000_000
 
 
 def melt(wide: DataFrame, ids: Sequence[str], variable: str, value: str) -> DataFrame:
@@ -84,6 +85,24 @@ def group_stats(df: DataFrame, group: str) -> DataFrame:
                                  F.max("ds").alias("last_ds"))
 
 
+def map_groups(df: DataFrame, group: str, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str,
+               order: Sequence[str] = (), max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """``fn`` on the whole pandas frame of every group, rows in ``order``.
+
+    A group is one frame in one task, so the largest one is looked at first and refused beyond
+    ``max_rows``; a fit that must take any size is written with sums, as ``moments`` and
+    ``trend_forecast`` are.
+    """
+    largest = df.groupBy(group).count().agg(F.max("count")).first()[0] or 0
+    if largest > max_rows:
+        raise ValueError(f"a group of {group} has {largest} rows, more than the {max_rows} one task may hold")
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        return fn(part.sort_values(list(order), ignore_index=True) if order else part)
+
+    return df.groupBy(group).applyInPandas(run, schema)
+
+
 def model_count(df: DataFrame, concurrent: int, batches: int) -> DataFrame:
     """Number of models and the number of trials that run at once and in all."""
     top = df.agg(F.max("model_num").alias("num_models"))

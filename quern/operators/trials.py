@@ -185,7 +185,7 @@ def elapsed(log: DataFrame, ts: str, seconds: str, groups: Sequence[str] = ()) -
     """Last time stamp minus first plus the last report's own duration, in seconds."""
     start, end = F.min(F.col(ts)), F.max(F.col(ts))
     last = F.max_by(F.col(seconds), F.struct(F.col(ts), F.col(seconds)))
-    span = (F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / 1e6
+    span = F.timestamp_diff("MICROSECOND", start, end) / 1e6
     return log.groupBy(*groups).agg((span + last).alias("elapsed_seconds"), F.count(F.lit(1)).alias("reports"))
 
 

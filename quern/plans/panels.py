@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from quern.operators import panel
@@ -183,3 +185,19 @@ def fit_groups(spark, sf):
 @query("group_trials")
 def group_trials(spark, sf):
     return panel.group_trials(panel.moments(panel.design(st.daily_panel(spark, sf))))
+
+
+def _line(part: pd.DataFrame) -> pd.DataFrame:
+    days = (pd.to_datetime(part["ds"]) - pd.Timestamp("1995-01-01")).dt.days.to_numpy(float)
+    slope = np.polyfit(days - days.mean(), part["y"].to_numpy(float), 1)[0] if len(part) > 1 else 0.0
+    return pd.DataFrame({"ID": [part["ID"].iloc[0]], "rows": [len(part)], "first_y": [part["y"].iloc[0]],
+                         "last_y": [part["y"].iloc[-1]], "slope": [round(float(slope), 2)]})
+
+
+@query("map_groups", f"""
+{DAILY} SELECT "ID", count(*) AS rows, arg_min(y, ds) AS first_y, arg_max(y, ds) AS last_y,
+  round(coalesce(regr_slope(y, datediff('day', DATE '1995-01-01', ds)), 0), 2) AS slope FROM daily GROUP BY 1""")
+def map_groups(spark, sf):
+    """A pandas function per series, rows in date order."""
+    return panel.map_groups(st.daily_panel(spark, sf), "ID", _line,
+                            "ID int, rows bigint, first_y double, last_y double, slope double", order=["ds"])

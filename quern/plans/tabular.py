@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from quern.functions import columns, hashing
+from quern.functions import columns, hashing, ordering
 from quern.operators import clean, features, registry, splits
 from quern.plans import standins as st
 from quern.plans.registry import query, sql_uniform
@@ -269,9 +269,9 @@ UNION ALL SELECT * FROM (SELECT 'alias', * FROM models WHERE alias = 'Production
   QUALIFY row_number() OVER (PARTITION BY name ORDER BY version DESC) = 1)
 UNION ALL SELECT 'default', * FROM models WHERE version = 1""")
 def registry_latest(spark, sf):
-    from quern.functions import ordering
     orders = load(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_orderstatus")
-    models = ordering.row_numbers(orders, ["o_orderdate", "o_orderkey"], "version", ["o_custkey"]).select(
+    models = ordering.row_numbers(orders, ["o_orderdate", "o_orderkey"], "version", ["o_custkey"],
+                                  at_most=orders.count()).select(
         F.concat(F.lit("model_"), F.col("o_custkey").cast("string")).alias("name"), F.col("version").cast("int").alias("version"),
         F.when(F.col("o_orderstatus") == "F", "Production").otherwise("Staging").alias("alias"),
         F.col("o_orderkey").alias("run_id"))

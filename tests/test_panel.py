@@ -178,3 +178,15 @@ def test_model_count(spark):
     frame = spark.createDataFrame([(1,), (6,)], "model_num bigint")
     assert tuple(panel.model_count(frame, 3, 3).first()) == (6, 9, 18)
     assert set(panel.SEARCH_SPACE) <= set(trials.sample(frame, "model_num", panel.SEARCH_SPACE, 2).columns)
+
+
+def test_map_groups_sorts_and_checks_size(spark):
+    frame = spark.createDataFrame([(1, day(2), 3.0), (1, day(1), 2.0), (2, day(5), 1.0)], "g int, ds date, y double")
+
+    def first(part):
+        return pd.DataFrame({"g": [part["g"].iloc[0]], "y": [part["y"].iloc[0]]})
+
+    out = panel.map_groups(frame, "g", first, "g int, y double", order=["ds"]).collect()
+    assert sorted(map(tuple, out)) == [(1, 2.0), (2, 1.0)]
+    with pytest.raises(ValueError):
+        panel.map_groups(frame, "g", first, "g int, y double", max_rows=1)
