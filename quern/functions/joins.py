@@ -31,10 +31,18 @@ def match_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "i
     return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Even out the rows before heavy per-row work, but only if there are fewer partitions than cores.
+def stored(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` kept for repeated passes, and its rows.
 
-    Large inputs have far more partitions than that and are left where they are.
+    It is evened out if it has fewer partitions than there are cores.  Large inputs have far more
+    partitions than that and are left where they are.  The caller unpersists it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    kept = df.persist()
+    rows = kept.count()
+    if kept.rdd.getNumPartitions() >= cores:
+        return kept, rows
+    even = kept.repartition(cores).persist()
+    even.count()
+    kept.unpersist()
+    return even, rows

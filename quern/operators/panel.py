@@ -6,13 +6,13 @@ the length of the calendar however many raw rows the series has.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quern.functions import joins, ordering
 from quern.operators import trials
@@ -343,14 +343,10 @@ def _solve(plain: np.ndarray, aged: np.ndarray, test: np.ndarray, newest: float,
     return float(test[p, p] - 2.0 * beta @ test[use, p] + beta @ test[np.ix_(use, use)] @ beta)
 
 
-def group_trials(sums: DataFrame, n_trials: int = 9, seed: int = 2025, space: dict | None = None,
-                 n_lags: int = N_LAGS) -> DataFrame:
-    """Fit every trial of every model: ``model_num, trial, <params>, num_datapoints, RMSE, seconds``."""
-    space = space or SEARCH_SPACE
-    tried = trials.sample(sums, "model_num", space, n_trials, seed)
+def score_trials(tried: DataFrame, n_lags: int = N_LAGS) -> DataFrame:
+    """Add ``RMSE`` and ``seconds`` to rows that hold a model's cross products and a configuration."""
 
     def score(*cols: pd.Series) -> pd.DataFrame:
-        import time
         out = []
         for tested, unseen, scale, plain, aged, test, newest, ridge, lags in zip(*cols):
             began = time.perf_counter()
@@ -361,11 +357,28 @@ def group_trials(sums: DataFrame, n_trials: int = 9, seed: int = 2025, space: di
             out.append((1000.0 if np.isnan(value) else value, time.perf_counter() - began))
         return pd.DataFrame(out, columns=["RMSE", "seconds"])
 
-    udf = F.pandas_udf(score, T.StructType([T.StructField("RMSE", T.DoubleType()),
-                                            T.StructField("seconds", T.DoubleType())]))
+    udf = F.pandas_udf(score, "RMSE double, seconds double")
     scored = tried.withColumn("_s", udf("tested", "unseen", "scale", "plain", "aged", "test",
                                         "newer_samples_weight", "ridge", "ar_lags"))
-    return scored.select("model_num", "trial", *space, F.col("points").alias("num_datapoints"), "_s.RMSE", "_s.seconds")
+    return scored.withColumns({"RMSE": F.col("_s.RMSE"), "seconds": F.col("_s.seconds")}).drop("_s")
+
+
+def group_trials(sums: DataFrame, n_trials: int = 9, seed: int = 2025) -> DataFrame:
+    """Fit every trial of every model: ``model_num, trial, <params>, num_datapoints, RMSE, seconds``."""
+    scored = score_trials(trials.sample(sums, "model_num", SEARCH_SPACE, n_trials, seed))
+    return scored.select("model_num", "trial", *SEARCH_SPACE, F.col("points").alias("num_datapoints"), "RMSE", "seconds")
+
+
+def guided_trials(sums: DataFrame, n_trials: int = 12, seed: int = 2025) -> DataFrame:
+    """Like ``group_trials``, but later trials of a model learn from its earlier ones; all lags are used."""
+    sums = sums.checkpoint()  # one short row per model, read in every round
+
+    def evaluate(asked: DataFrame) -> DataFrame:
+        rows = joins.match_keys(asked, sums, ["model_num"]).withColumn("ar_lags", F.lit(N_LAGS))
+        return score_trials(rows).withColumn("loss", F.col("RMSE"))
+
+    ranges = {"newer_samples_weight": trials.Range(1, 7), "ridge": trials.Range(1e-6, 1e-1, log=True)}
+    return trials.guided_search(sums, "model_num", ranges, evaluate, n_trials, seed=seed)
 
 
 def fit_groups(panel: DataFrame, n_trials: int = 9, seed: int = 2025) -> DataFrame:

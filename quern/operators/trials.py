@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quern.functions import hashing, joins, ordering
+from quern.session import ensure_checkpoint_dir
 
 # Fixed values of the model-based sampler.
 STARTUP_TRIALS = 8
@@ -272,24 +273,25 @@ def run_distributed(configs: Sequence[Mapping], fit: Callable[[Mapping], Mapping
 
 # --- model-based suggestion -------------------------------------------------------------------------
 
-def suggest(log: DataFrame, group: str, param: str, loss: str, trial: str, lo: float, hi: float,
-            n_candidates: int = CANDIDATES, seed: int = 2025, startup: int = STARTUP_TRIALS) -> DataFrame:
+def suggest(log: DataFrame, group: str | Sequence[str], param: str, loss: str, trial: str, lo: float, hi: float,
+            n_candidates: int = CANDIDATES, seed: int | str = 2025, startup: int = STARTUP_TRIALS) -> DataFrame:
     """Rank candidate values of one parameter per group by a Parzen estimate of good over other trials.
 
     The good trials are the lowest-loss tenth of a group (25 at most).  A candidate is a good value moved
-    by a hash-drawn normal step.  ``density = log(good kernels) - log(other kernels)``; groups with fewer
+    by a hash-drawn normal step and mirrored at the ends of the range.  ``density = log(good kernels) - log(other kernels)``; groups with fewer
     than ``startup`` trials get uniform candidates, in candidate order.
 
     The kernels of all candidates are summed in one aggregation over the log, so neither pairs nor
     groups are ever materialised and a group may hold most of the log.
     """
+    keys = [group] if isinstance(group, str) else list(group)
     span = float(hi) - float(lo)
-    counted = log.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    ranking = Window.partitionBy(group).orderBy(F.col(loss), F.col(trial))
+    counted = log.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    ranking = Window.partitionBy(*keys).orderBy(F.col(loss), F.col(trial))
     top = log.withColumn("_rn", F.row_number().over(ranking)).where(F.col("_rn") <= GOOD_LIMIT)
     good_n = F.least(F.ceil(F.lit(GOOD_SHARE) * F.col("_n")), F.lit(GOOD_LIMIT))
-    per_group = joins.match_keys(top, joins.small_side(counted), [group]).where(F.col("_rn") <= good_n)
-    per_group = per_group.groupBy(group).agg(
+    per_group = joins.match_keys(top, joins.small_side(counted), keys).where(F.col("_rn") <= good_n)
+    per_group = per_group.groupBy(*keys).agg(  # at most GOOD_LIMIT values
         F.max("_n").alias("_n"),
         F.transform(F.array_sort(F.collect_list(F.struct("_rn", param))), lambda s: s[param]).alias("_good"))
     per_group = per_group.withColumns({"_hg": _bandwidth(F.size("_good"), span),
@@ -299,17 +301,19 @@ def suggest(log: DataFrame, group: str, param: str, loss: str, trial: str, lo: f
     made = {}
     for k, name in enumerate(names):
         def u(part: str) -> Column:
-            return hashing.hash_uniform(seed, F.concat_ws("-", F.col(group).cast("string"), F.lit(str(k))), part)
+            return hashing.hash_uniform(seed, F.concat_ws("-", hashing.joined_key(*keys), F.lit(str(k))), part)
         step = F.sqrt(-2.0 * F.log(1.0 - u("radius"))) * F.cos(2.0 * math.pi * u("angle"))
         centre = hashing.pick(u("centre"), F.col("_good"))
-        near = F.greatest(F.lit(float(lo)), F.least(F.lit(float(hi)), centre + F.col("_hg") * step))
+        moved = centre + F.col("_hg") * step
+        back = F.when(moved < lo, 2.0 * lo - moved).when(moved > hi, 2.0 * hi - moved).otherwise(moved)
+        near = F.greatest(F.lit(float(lo)), F.least(F.lit(float(hi)), back))
         made[name] = F.when(F.col("_n") < startup, hashing.uniform(u("centre"), lo, hi)).otherwise(near)
-    per_group = per_group.withColumns(made)
+    per_group = joins.small_side(per_group.withColumns(made))
 
-    rows = joins.match_keys(log.select(group, param), joins.small_side(per_group), [group])
-    total = rows.groupBy(group).agg(
+    rows = joins.match_keys(log.select(*keys, param), per_group, keys)
+    total = rows.groupBy(*keys).agg(
         *[F.sum(_kernel(F.col(c) - F.col(param), F.col("_hb"))).alias(f"_all{k}") for k, c in enumerate(names)])
-    scored = joins.match_keys(per_group, total, [group])
+    scored = joins.match_keys(total, per_group, keys)
 
     def near_good(centre: Column, width: Column) -> Column:
         return F.aggregate("_good", F.lit(0.0), lambda acc, x: acc + _kernel(centre - x, width))
@@ -322,15 +326,61 @@ def suggest(log: DataFrame, group: str, param: str, loss: str, trial: str, lo: f
         others = F.greatest(F.col(f"_all{k}") - near_good(c, F.col("_hb")), F.lit(0.0))
         bad = (others / F.col("_hb") + flat) / (F.col("_n") - F.size("_good") + 1)
         density = F.when(F.col("_n") < startup, F.lit(float(-k))).otherwise(F.log(good) - F.log(bad))
-        entries.append(F.struct(F.lit(k).alias("candidate"), c.alias("value"), density.alias("density")))
-    ranked = scored.select(group, F.posexplode_outer(F.sort_array(F.array(*[
-        F.struct((-e["density"]).alias("_o"), e["candidate"].alias("candidate"), e["value"].alias("value"),
-                 e["density"].alias("density")) for e in entries]))))
-    return ranked.select(group, (F.col("pos") + 1).alias("place"), "col.candidate", "col.value", "col.density")
+        entries.append(F.struct((-density).alias("_o"), F.lit(k).alias("candidate"), c.alias("value")))
+    ranked = scored.select(*keys, F.posexplode_outer(F.array_sort(F.array(*entries))))
+    return ranked.select(*keys, (F.col("pos") + 1).alias("place"), "col.candidate", "col.value",
+                         (-F.col("col._o")).alias("density"))
+
+
+def next_trial(ranked: DataFrame) -> DataFrame:
+    """The top candidate per group."""
+    return ranked.where(F.col("place") == 1)
+
+
+@dataclass(frozen=True)
+class Range:
+    """A numeric dimension of a guided search."""
+
+    lo: float
+    hi: float
+    log: bool = False
+
+    def to_unit(self, value: Column) -> Column:
+        if self.log:
+            return (F.log(value) - F.lit(math.log(self.lo))) / F.lit(math.log(self.hi / self.lo))
+        return (value - F.lit(float(self.lo))) / F.lit(float(self.hi) - float(self.lo))
+
+    def from_unit(self, unit: Column) -> Column:
+        return hashing.log_uniform(unit, self.lo, self.hi) if self.log else hashing.uniform(unit, self.lo, self.hi)
+
+
+def guided_search(groups: DataFrame, group: str, ranges: Mapping[str, Range],
+                  evaluate: Callable[[DataFrame], DataFrame], n_trials: int, startup: int = STARTUP_TRIALS,
+                  seed: int = 2025) -> DataFrame:
+    """A search per row of ``groups`` in which later trials learn from earlier ones.
+
+    The first ``startup`` trials are random.  Each later round asks for one more trial of every group at
+    once: all parameters of all groups are ranked in one pass over the log, then ``evaluate`` adds a
+    column ``loss`` to the frame ``group, trial, <params>``.  The log is checkpointed per round.
+    """
+    ensure_checkpoint_dir(groups.sparkSession)
+    space = {name: Param(r.from_unit) for name, r in ranges.items()}
+    columns = [group, "trial", *ranges, "loss"]
+    log = evaluate(sample(groups.select(group), group, space, startup, seed)).select(*columns).checkpoint()
+    for number in range(startup, n_trials):
+        units = log.select(group, "trial", "loss", *[r.to_unit(F.col(n)).alias(n) for n, r in ranges.items()])
+        long = units.unpivot([group, "trial", "loss"], list(ranges), "param", "unit")
+        chosen = next_trial(suggest(long, [group, "param"], "unit", "loss", "trial", 0.0, 1.0,
+                                    seed=f"{seed}-{number}", startup=startup))
+        wide = chosen.groupBy(group).agg(*[F.max(F.when(F.col("param") == n, F.col("value"))).alias(n) for n in ranges])
+        asked = wide.select(group, F.lit(number).alias("trial"),
+                            *[r.from_unit(F.col(n)).alias(n) for n, r in ranges.items()])
+        log = log.unionByName(evaluate(asked).select(*columns)).checkpoint()
+    return log
 
 
 def _bandwidth(n: Column, span: float) -> Column:
-    return F.lit(span) * F.pow(F.greatest(n, F.lit(1)).cast("double"), F.lit(-0.2)) / 2
+    return F.lit(span) * F.pow(F.greatest(n, F.lit(1)).cast("double"), F.lit(-0.2)) / 5
 
 
 def _kernel(distance: Column, width: Column) -> Column:
@@ -338,10 +388,5 @@ def _kernel(distance: Column, width: Column) -> Column:
     return F.exp(-0.5 * (distance / width) * (distance / width)) / math.sqrt(2 * math.pi)
 
 
-def next_trial(ranked: DataFrame) -> DataFrame:
-    """The top candidate per group."""
-    return ranked.where(F.col("place") == 1)
-
-
 def union_logs(logs: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), logs)

@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from quern.operators import panel
+from quern.operators import panel, trials
 from quern.plans import standins as st
 from quern.plans.registry import query
 
@@ -201,3 +201,10 @@ def map_groups(spark, sf):
     """A pandas function per series, rows in date order."""
     return panel.map_groups(st.daily_panel(spark, sf), "ID", _line,
                             "ID int, rows bigint, first_y double, last_y double, slope double", order=["ds"])
+
+
+@query("guided_trials")
+def guided_trials(spark, sf):
+    """Twelve trials per model, the last four suggested from the log; the best of each model."""
+    log = panel.guided_trials(panel.moments(panel.design(st.daily_panel(spark, sf))))
+    return trials.best(log, "loss", "min", groups=["model_num"])

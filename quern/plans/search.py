@@ -171,13 +171,14 @@ WITH log AS (SELECT event_type AS g, event_id AS trial, value AS x, abs(value -
 ranked AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY loss, trial) AS rn, count(*) OVER (PARTITION BY g) AS n FROM log),
 flagged AS (SELECT *, rn <= least(ceil(0.1 * n), 25) AS good FROM ranked),
 sizes AS (SELECT g, count(*) AS n, count(*) FILTER (good) AS ng FROM flagged GROUP BY 1),
-widths AS (SELECT *, {PARZEN_SPAN} * pow(greatest(ng, 1)::DOUBLE, -0.2) / 2 AS hg,
-  {PARZEN_SPAN} * pow(greatest(n - ng, 1)::DOUBLE, -0.2) / 2 AS hb FROM sizes),
+widths AS (SELECT *, {PARZEN_SPAN} * pow(greatest(ng, 1)::DOUBLE, -0.2) / 5 AS hg,
+  {PARZEN_SPAN} * pow(greatest(n - ng, 1)::DOUBLE, -0.2) / 5 AS hb FROM sizes),
 draws AS (SELECT w.*, k, {sql_uniform(2025, "g || '-' || k", 'centre')} AS u0, {sql_uniform(2025, "g || '-' || k", 'radius')} AS u1,
   {sql_uniform(2025, "g || '-' || k", 'angle')} AS u2 FROM widths w, range(8) r(k)),
-cands AS (SELECT d.g, d.k, d.n, d.ng, d.hg, d.hb,
-  greatest(0.0, least({PARZEN_SPAN}, f.x + hg * sqrt(-2 * ln(1 - u1)) * cos(2 * pi() * u2))) AS c
+moved AS (SELECT d.g, d.k, d.n, d.ng, d.hg, d.hb, f.x + hg * sqrt(-2 * ln(1 - u1)) * cos(2 * pi() * u2) AS m
   FROM draws d JOIN flagged f ON f.g = d.g AND f.rn = floor(u0 * ng) + 1),
+cands AS (SELECT *, greatest(0.0, least({PARZEN_SPAN},
+  CASE WHEN m < 0 THEN -m WHEN m > {PARZEN_SPAN} THEN 2 * {PARZEN_SPAN} - m ELSE m END)) AS c FROM moved),
 sums AS (SELECT c.g, c.k, any_value(c.c) AS c, any_value(c.n) AS n, any_value(c.ng) AS ng, any_value(hg) AS hg, any_value(hb) AS hb,
   sum({_kernel('f.x', 'c.c', 'hg')}) FILTER (f.good) AS sg, sum({_kernel('f.x', 'c.c', 'hb')}) FILTER (NOT f.good) AS sb
   FROM cands c JOIN flagged f USING (g) GROUP BY 1, 2),
