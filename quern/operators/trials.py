@@ -297,37 +297,40 @@ def suggest(log: DataFrame, group: str | Sequence[str], param: str, loss: str, t
     per_group = per_group.withColumns({"_hg": _bandwidth(F.size("_good"), span),
                                        "_hb": _bandwidth(F.col("_n") - F.size("_good"), span)})
 
-    names = [f"_c{k}" for k in range(n_candidates)]
-    made = {}
-    for k, name in enumerate(names):
+    numbers = F.sequence(F.lit(0), F.lit(n_candidates - 1))
+
+    def candidate(k: Column) -> Column:
         def u(part: str) -> Column:
-            return hashing.hash_uniform(seed, F.concat_ws("-", hashing.joined_key(*keys), F.lit(str(k))), part)
+            return hashing.hash_uniform(seed, F.concat_ws("-", hashing.joined_key(*keys), k.cast("string")), part)
         step = F.sqrt(-2.0 * F.log(1.0 - u("radius"))) * F.cos(2.0 * math.pi * u("angle"))
-        centre = hashing.pick(u("centre"), F.col("_good"))
-        moved = centre + F.col("_hg") * step
-        back = F.when(moved < lo, 2.0 * lo - moved).when(moved > hi, 2.0 * hi - moved).otherwise(moved)
-        near = F.greatest(F.lit(float(lo)), F.least(F.lit(float(hi)), back))
-        made[name] = F.when(F.col("_n") < startup, hashing.uniform(u("centre"), lo, hi)).otherwise(near)
-    per_group = joins.small_side(per_group.withColumns(made))
+        moved = hashing.pick(u("centre"), F.col("_good")) + F.col("_hg") * step
+        mirrored = F.lit(float(hi)) - F.abs(F.lit(float(hi)) - (F.lit(float(lo)) + F.abs(moved - F.lit(float(lo)))))
+        near = F.greatest(F.lit(float(lo)), F.least(F.lit(float(hi)), mirrored))
+        return F.when(F.col("_n") < startup, hashing.uniform(u("centre"), lo, hi)).otherwise(near)
+
+    per_group = joins.small_side(per_group.withColumn("_candidates", F.transform(numbers, candidate)))
 
     rows = joins.match_keys(log.select(*keys, param), per_group, keys)
-    total = rows.groupBy(*keys).agg(
-        *[F.sum(_kernel(F.col(c) - F.col(param), F.col("_hb"))).alias(f"_all{k}") for k, c in enumerate(names)])
+    total = rows.groupBy(*keys).agg(*[
+        F.sum(_kernel(F.col("_candidates")[k] - F.col(param), F.col("_hb"))).alias(f"_all{k}")
+        for k in range(n_candidates)])
+    total = total.select(*keys, F.array(*[f"_all{k}" for k in range(n_candidates)]).alias("_all"))
     scored = joins.match_keys(total, per_group, keys)
 
     def near_good(centre: Column, width: Column) -> Column:
         return F.aggregate("_good", F.lit(0.0), lambda acc, x: acc + _kernel(centre - x, width))
 
     flat = 1.0 / span
-    entries = []
-    for k, name in enumerate(names):
-        c = F.col(name)
+
+    def entry(k: Column) -> Column:
+        c = F.get("_candidates", k)
         good = (near_good(c, F.col("_hg")) / F.col("_hg") + flat) / (F.size("_good") + 1)
-        others = F.greatest(F.col(f"_all{k}") - near_good(c, F.col("_hb")), F.lit(0.0))
+        others = F.greatest(F.get("_all", k) - near_good(c, F.col("_hb")), F.lit(0.0))
         bad = (others / F.col("_hb") + flat) / (F.col("_n") - F.size("_good") + 1)
-        density = F.when(F.col("_n") < startup, F.lit(float(-k))).otherwise(F.log(good) - F.log(bad))
-        entries.append(F.struct((-density).alias("_o"), F.lit(k).alias("candidate"), c.alias("value")))
-    ranked = scored.select(*keys, F.posexplode_outer(F.array_sort(F.array(*entries))))
+        density = F.when(F.col("_n") < startup, -k.cast("double")).otherwise(F.log(good) - F.log(bad))
+        return F.struct((-density).alias("_o"), k.alias("candidate"), c.alias("value"))
+
+    ranked = scored.select(*keys, F.posexplode_outer(F.array_sort(F.transform(numbers, entry))))
     return ranked.select(*keys, (F.col("pos") + 1).alias("place"), "col.candidate", "col.value",
                          (-F.col("col._o")).alias("density"))
 
