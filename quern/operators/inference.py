@@ -75,47 +75,50 @@ def _bilinear(image: np.ndarray, width: int, height: int) -> np.ndarray:
     return top * (1 - fy) + low * fy
 
 
-PREPARED = "path string, tile int, is_thumbnail boolean, pixel_values array<float>"
-
+def _tiles(row, size: int, thumbnail: bool) -> list[np.ndarray]:
+    """Normalised tiles of one planned image, channel first; the whole image last if asked for."""
+    raw = np.frombuffer(row.pixels, np.uint8).reshape(row.height, row.width, row.channels)
+    rgb = (np.repeat(raw, 3, axis=2) if row.channels == 1 else raw[:, :, 2::-1]).astype(float)
+    whole = _bilinear(rgb, row.target_width, row.target_height)
+    cut = [whole[y:y + size, x:x + size] for y in range(0, row.target_height, size)
+           for x in range(0, row.target_width, size)]
+    if thumbnail and len(cut) > 1:
+        cut.append(_bilinear(rgb, size, size))
+    mean, std = np.asarray(CHANNEL_MEAN), np.asarray(CHANNEL_STD)
+    return [((t / 255.0 - mean) / std).astype(np.float32).transpose(2, 0, 1) for t in cut]
+
+
+def _map_images(images: DataFrame, size: int, make: Callable[[object], pd.DataFrame], schema: str) -> DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):  # an image at a time: its tiles are megabytes
+                yield make(row)
 
-def resize(images: DataFrame, thumbnail: bool = False, size: int = INPUT_SIZE) -> DataFrame:
-    """Decoded images to normalised tiles, one row per tile (3 x size x size floats, channel first).
+    needed = ["path", "height", "width", "channels", "pixels", "target_width", "target_height"]
+    return plan_tiles(images, "width", "height", size).select(*needed).mapInPandas(run, schema)
 
-    Tiles stay separate rows, so one image never becomes one very large value; ``pack_tiles`` joins them.
-    """
-    planned = plan_tiles(images, "width", "height", size)
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        mean = np.asarray(CHANNEL_MEAN)[:, None, None]
-        std = np.asarray(CHANNEL_STD)[:, None, None]
+def resize(images: DataFrame, thumbnail: bool = False, size: int = INPUT_SIZE) -> DataFrame:
+    """Decoded images to ``path, tile, is_thumbnail, pixel_values``: one row per tile, 3 x size x size floats."""
+    def make(row) -> pd.DataFrame:
+        tiles = _tiles(row, size, thumbnail)
+        blocks = (row.target_width // size) * (row.target_height // size)
+        return pd.DataFrame({"path": row.path, "tile": range(len(tiles)), "pixel_values": [t.ravel() for t in tiles],
+                             "is_thumbnail": [i >= blocks for i in range(len(tiles))]})
 
-        def ready(tile: np.ndarray) -> np.ndarray:
-            return ((tile.transpose(2, 0, 1) / 255.0 - mean) / std).astype(np.float32).ravel()
+    return _map_images(images, size, make, "path string, tile int, is_thumbnail boolean, pixel_values array<float>")
 
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                raw = np.frombuffer(row.pixels, np.uint8).reshape(row.height, row.width, row.channels)
-                rgb = np.repeat(raw, 3, axis=2) if row.channels == 1 else raw[:, :, 2::-1]
-                whole = _bilinear(rgb.astype(float), row.target_width, row.target_height)
-                tiles = [whole[y:y + size, x:x + size] for y in range(0, row.target_height, size)
-                         for x in range(0, row.target_width, size)]
-                flags = [False] * len(tiles)
-                if thumbnail and len(tiles) > 1:
-                    tiles.append(_bilinear(rgb.astype(float), size, size))
-                    flags.append(True)
-                yield pd.DataFrame({"path": row.path, "tile": range(len(tiles)), "is_thumbnail": flags,
-                                    "pixel_values": [ready(t) for t in tiles]})
 
-    needed = ["path", "height", "width", "channels", "pixels", "target_width", "target_height"]
-    return planned.select(*needed).mapInPandas(cut, PREPARED)
+def pack_tiles(images: DataFrame, thumbnail: bool = False, size: int = INPUT_SIZE) -> DataFrame:
+    """Decoded images to ``path, num_tiles, pixel_values``: the stacked tiles of an image in one row.
 
+    Packed where the image is decoded, so tiles are never shuffled.
+    """
+    def make(row) -> pd.DataFrame:
+        tiles = _tiles(row, size, thumbnail)
+        return pd.DataFrame({"path": [row.path], "num_tiles": [len(tiles)], "pixel_values": [np.stack(tiles).ravel()]})
 
-def pack_tiles(tiles: DataFrame, key: str = "path") -> DataFrame:
-    """Tiles of an image in order as one array, with their count."""
-    ordered = F.array_sort(F.collect_list(F.struct("tile", "pixel_values")))
-    packed = tiles.groupBy(key).agg(ordered.alias("_t"))  # at most MAX_TILES + 1 rows per image
-    return packed.select(key, F.size("_t").alias("num_tiles"),
-                         F.flatten(F.transform("_t", lambda t: t["pixel_values"])).alias("pixel_values"))
+    return _map_images(images, size, make, "path string, num_tiles int, pixel_values array<float>")
 
 
 def map_rows(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema: str) -> DataFrame:

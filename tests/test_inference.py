@@ -53,13 +53,16 @@ def test_images_to_packed_tiles(spark, tmp_path):
     png(tmp_path / "wide.png", 30, 20, (255, 0, 0))
     png(tmp_path / "tall.png", 10, 40, (0, 0, 255))
     images = media.read_images(spark, str(tmp_path))
-    tiles = inference.resize(images, thumbnail=True, size=16)
-    packed = {r["path"].rsplit("/", 1)[-1]: r for r in inference.pack_tiles(tiles).collect()}
+    tiles = inference.resize(images, thumbnail=True, size=16).collect()
+    packed = {r["path"].rsplit("/", 1)[-1]: r for r in inference.pack_tiles(images, thumbnail=True, size=16).collect()}
+    assert sum(r["is_thumbnail"] for r in tiles) == sum(r["num_tiles"] > 1 for r in packed.values())
     for name, (w, h), colour in (("wide.png", (30, 20), (1, 0, 0)), ("tall.png", (10, 40), (0, 0, 1))):
         x, y = plan(w, h, 16)
         count = x * y + (1 if x * y > 1 else 0)
         assert packed[name]["num_tiles"] == count
         pixels = np.asarray(packed[name]["pixel_values"]).reshape(count, 3, 16, 16)
+        mine = sorted((r["tile"], r["pixel_values"]) for r in tiles if r["path"].endswith(name))
+        assert np.array_equal(np.asarray([p for _, p in mine]).ravel(), pixels.ravel())
         for c in range(3):
             want = (colour[c] - inference.CHANNEL_MEAN[c]) / inference.CHANNEL_STD[c]
             np.testing.assert_allclose(pixels[:, c], want, atol=1e-5)
