@@ -148,7 +148,7 @@ def regularize(df: DataFrame, keys: Sequence[str], linear: int = IMPUTE_LINEAR,
     rows = rows.withColumns({"_yn": F.lead("y").over(series), "_dn": F.lead("ds").over(series),
                              "_first": F.lag("ds").over(series).isNull()})
     begin = F.when(F.col("_first"), F.col("_from")).otherwise(F.col("ds"))
-    until = F.coalesce(F.date_sub("_dn", 1), F.col("_to"))
+    until = F.greatest(begin, F.coalesce(F.date_sub("_dn", 1), F.col("_to")))
     full = rows.withColumn("_day", F.explode_outer(F.sequence(begin, until)))
     back, ahead = F.datediff("_day", "ds"), F.datediff("_dn", "_day")  # back < 0 before the first known day
     line = (F.when(back < 0, F.when(-back <= linear, F.col("y")))

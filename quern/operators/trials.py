@@ -6,7 +6,6 @@ import math
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -245,21 +244,25 @@ def halve(log: DataFrame, milestones: Sequence[int], factor: int = 2, mode: str
 
 
 def successive_halving(configs: Sequence[Mapping], fit: Callable[[Mapping, int, object], tuple[float, object]],
-                       milestones: Sequence[int], factor: int = 2, width: int = 4) -> list[dict]:
+                       milestones: Sequence[int], factor: int = 2, width: int = 4,
+                       longest: int | None = None) -> list[dict]:
     """Train all configurations to the first milestone, keep the best 1/factor, continue those.
 
+    With ``longest`` the last milestone cuts as well and its survivors train on to that budget.
+
     ``fit(config, budget, state) -> (loss, state)`` runs a distributed fit that continues from ``state``
     (for example network weights).  Returns every report; the survivors have the largest budget.
     """
     alive = [(i, c, None) for i, c in enumerate(configs)]
+    budgets = [*milestones, longest] if longest is not None and longest > milestones[-1] else list(milestones)
     reports = []
-    for rung, budget in enumerate(milestones):
+    for rung, budget in enumerate(budgets):
         with ThreadPoolExecutor(width) as pool:
             done = list(pool.map(lambda item: (item, fit(item[1], budget, item[2])), alive))
         scored = sorted(((loss, i, c, state) for (i, c, _), (loss, state) in done), key=lambda r: r[:2])
         reports += [{"trial": i, "config": dict(c), "iteration": budget, "loss": loss, "state": state}
                     for loss, i, c, state in scored]
-        keep = max(1, len(scored) // factor) if rung < len(milestones) - 1 else len(scored)
+        keep = max(1, len(scored) // factor) if rung < len(budgets) - 1 else len(scored)
         alive = [(i, c, state) for _, i, c, state in scored[:keep]]
     return reports
 
@@ -389,7 +392,3 @@ def _bandwidth(n: Column, span: float) -> Column:
 def _kernel(distance: Column, width: Column) -> Column:
     """Gaussian without its width, so that the caller divides once."""
     return F.exp(-0.5 * (distance / width) * (distance / width)) / math.sqrt(2 * math.pi)
-
-
-def union_logs(logs: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), logs)

@@ -105,7 +105,7 @@ def _replace(df: DataFrame, table: str, partition_by: Sequence[str]) -> None:
     staging = f"{table}__staging"
     _writer(df, partition_by).mode("overwrite").saveAsTable(staging)
     spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": table})
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {table.split('.')[-1] if '.' not in table else table}")
+    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
 
 
 def upsert(base: DataFrame, changes: DataFrame, key: str, order: Sequence[Column] | None = None) -> DataFrame:

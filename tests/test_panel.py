@@ -3,7 +3,6 @@ import datetime
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from quern.operators import panel, trials
 from quern.sources import tables

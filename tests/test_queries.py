@@ -14,9 +14,34 @@ def con(tiny):
     return connect(tiny)
 
 
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_same_rows_as_sql(spark, con, tiny, name):
-    assert compare(spark, con, tiny, name, contract.queries()[name], ORACLE[name]) == []
+    frame = contract.queries()[name](spark, tiny)
+    plan = plan_of(frame)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert compare(spark, con, tiny, name, lambda *_: frame, ORACLE[name]) == []
+
+
+def test_filters_and_columns_reach_the_scan(spark, tiny):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = plan_of(contract.queries()["filter_conjunction"](spark, tiny))
+    assert "EqualTo(l_returnflag,R)" in plan and "EqualTo(l_quantity,10.0)" in plan and "l_tax" not in plan
+
+
+@pytest.mark.parametrize("name", ["pii_redact_spans", "pii_spans", "image_tile_boxes", "trials_random", "udf_column",
+                                  "score_then_redact", "one_hot_vectors"])
+def test_record_steps_do_not_shuffle(spark, tiny, name):
+    assert "Exchange" not in plan_of(contract.queries()[name](spark, tiny))
+
+
+@pytest.mark.parametrize("name", ["dedup_by_key", "best_trial_per_group", "upsert_latest"])
+def test_first_row_per_key_is_limited_before_the_exchange(spark, tiny, name):
+    plan = plan_of(contract.queries()[name](spark, tiny))
+    assert plan.count("WindowGroupLimit") >= 2
 
 
 @pytest.mark.parametrize("name", ROWS_ONLY)

@@ -135,6 +135,9 @@ def test_successive_halving_continues_survivors():
     assert [sum(r["iteration"] == b for r in reports) for b in (1, 2, 4)] == [8, 4, 2]
     assert all(state == {1: None, 2: 1, 4: 2}[budget] for _, budget, state in calls)
     assert min(reports, key=lambda r: (-r["iteration"], r["loss"]))["config"] == {"x": 3}
+    calls.clear()
+    longer = trials.successive_halving([{"x": i} for i in range(8)], lambda c, b, s: (abs(c["x"] - 3) / b, b), [1, 2, 4], longest=7)
+    assert [sum(r["iteration"] == b for r in longer) for b in (1, 2, 4, 7)] == [8, 4, 2, 1]
 
 
 def test_expand_moves_nothing(spark):
