@@ -97,18 +97,18 @@ def _label_sql(word: str) -> str:
 
 
 WORDS_SQL = rf"""
-WITH arrays AS (SELECT doc_id, text, regexp_extract_all(text, '[^ \t\r\n]+') AS words,
+WITH arrays AS (SELECT doc_id, length(text) AS total, regexp_extract_all(text, '[^ \t\r\n]+') AS words,
   string_split_regex(text, '[^ \t\r\n]+') AS gaps FROM documents),
-exploded AS (SELECT doc_id, text, unnest(range(len(words))) AS pos, unnest(words) AS word, unnest(gaps[:len(words)]) AS gap FROM arrays),
+exploded AS (SELECT doc_id, total, unnest(range(len(words))) AS pos, unnest(words) AS word, unnest(gaps[:len(words)]) AS gap FROM arrays),
 placed AS (SELECT *, sum(length(gap) + length(word)) OVER (PARTITION BY doc_id ORDER BY pos) AS word_end FROM exploded),
-tokens AS (SELECT doc_id, text, pos, word_end - length(word) AS s, word_end AS e, {_label_sql('word')} AS label FROM placed)
+tokens AS (SELECT doc_id, total, pos, word_end - length(word) AS s, word_end AS e, {_label_sql('word')} AS label FROM placed)
 """
 
 
 def _spans_sql(aggregate: bool, legacy: bool) -> str:
     join = "label <> 'O' AND prev <> 'O'" if aggregate else "label = prev"
     if legacy:
-        close = "CASE WHEN nl <> 'O' THEN ns WHEN ne IS NULL THEN length(text) ELSE ne END"
+        close = "CASE WHEN nl <> 'O' THEN ns WHEN ne IS NULL THEN total ELSE ne END"
     else:
         close = "CASE WHEN nl <> 'O' THEN ns ELSE e END"
     return f"""{WORDS_SQL},
@@ -116,14 +116,15 @@ around AS (SELECT *, coalesce(lag(label) OVER w, 'O') AS prev, lead(label) OVER
   FROM tokens WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
 hot AS (SELECT *, sum(CASE WHEN {join} THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos) AS island, {close} AS close
   FROM around WHERE label <> 'O'),
-spans AS (SELECT doc_id, island, any_value(text) AS text, CAST(min(s) AS INTEGER) AS start, CAST(max(close) AS INTEGER) AS "end",
+spans AS (SELECT doc_id, island, CAST(min(s) AS INTEGER) AS start, CAST(max(close) AS INTEGER) AS "end",
   arg_min(label, pos) AS label FROM hot GROUP BY doc_id, island)"""
 
 
 def _masked_sql(aggregate: bool, legacy: bool, out: str = "redacted_text") -> str:
     tag = "'[redacted]'" if aggregate else "'[' || label || ']'"
     return f"""{_spans_sql(aggregate, legacy)},
-cut AS (SELECT *, coalesce(lag("end") OVER (PARTITION BY doc_id ORDER BY start), 0) AS before FROM spans),
+gapped AS (SELECT *, coalesce(lag("end") OVER (PARTITION BY doc_id ORDER BY start), 0) AS before FROM spans),
+cut AS (SELECT g.*, d.text FROM gapped g JOIN documents d USING (doc_id)),
 joined AS (SELECT doc_id, string_agg(substr(text, before + 1, start - before) || {tag}, '' ORDER BY start)
   || substr(any_value(text), max("end") + 1) AS masked FROM cut GROUP BY doc_id)
 SELECT d.doc_id, coalesce(masked, text) AS {out} FROM documents d LEFT JOIN joined USING (doc_id)"""
