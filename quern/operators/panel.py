@@ -216,32 +216,42 @@ def recency_weight(df: DataFrame, group: str, newest: float) -> DataFrame:
     return ranged.withColumn("sample_weight", weight).drop("_from", "_to")
 
 
+def _by_day(df: DataFrame, group: str, days: int) -> DataFrame:
+    """Rows reduced to sums per group and day, with the day number ``t`` and the flag ``train``."""
+    y = F.col("y")
+    whole = Window.partitionBy(group)  # one row per calendar day
+    sums = df.groupBy(group, "ds").agg(
+        F.count(F.lit(1)).alias("rows"), F.count(y).alias("points"),
+        F.sum(F.coalesce(y, F.lit(0.0))).alias("sy"), F.sum(F.coalesce(y * y, F.lit(0.0))).alias("syy"))
+    return sums.withColumns({"train": F.col("ds") < F.date_sub(F.max("ds").over(whole), days),
+                             "t": F.datediff("ds", F.min("ds").over(whole)).cast("double")})
+
+
+def _line(n: Column, st: Column, stt: Column, sy: Column, sty: Column) -> tuple[Column, Column]:
+    """Slope and intercept from (weighted) sums; null where undefined."""
+    spread = n * stt - st * st
+    slope = F.when(spread != 0, (n * sty - st * sy) / spread)
+    return slope, (sy - slope * st) / F.when(n > 0, n)
+
+
 def trend_forecast(df: DataFrame, group: str = "model_num", days: int = TEST_DAYS) -> DataFrame:
     """Straight-line fit per group on the train days and its RMSE on the test days.
 
-    The rows are reduced to sums per group and day first; the line and its squared error follow from the
-    sums, so no group is ever gathered and only one small row per group and day is shuffled.  A missing
-    ``y`` is left out of the fit and counts as 0 when scoring.
+    The line and its squared error follow from sums per group and day, so no group is ever gathered and
+    only one small row per group and day is shuffled.  A missing ``y`` is left out of the fit and counts
+    as 0 when scoring.
     """
-    y = F.col("y")
-    by_day = df.groupBy(group, "ds").agg(
-        F.count(F.lit(1)).alias("rows"), F.count(y).alias("points"),
-        F.sum(F.coalesce(y, F.lit(0.0))).alias("sy"), F.sum(F.coalesce(y * y, F.lit(0.0))).alias("syy"))
-    whole = Window.partitionBy(group)  # one row per calendar day
-    by_day = by_day.withColumns({"_cut": F.date_sub(F.max("ds").over(whole), days),
-                                 "_t": F.datediff("ds", F.min("ds").over(whole)).cast("double")})
-    train = F.col("ds") < F.col("_cut")
+    by_day = _by_day(df, group, days)
+    whole = Window.partitionBy(group)
+    n, t, sy, train = F.col("points"), F.col("t"), F.col("sy"), F.col("train")
 
     def over_train(value: Column) -> Column:
         return F.sum(F.when(train, value).otherwise(0.0)).over(whole)
 
-    n, t, sy = F.col("points"), F.col("_t"), F.col("sy")
     by_day = by_day.withColumns({"_n": over_train(n.cast("double")), "_st": over_train(n * t),
                                  "_stt": over_train(n * t * t), "_sy": over_train(sy), "_sty": over_train(sy * t)})
-    spread = F.col("_n") * F.col("_stt") - F.col("_st") * F.col("_st")
-    slope = F.when(spread != 0, (F.col("_n") * F.col("_sty") - F.col("_st") * F.col("_sy")) / spread)
-    by_day = by_day.withColumn("slope", slope).withColumn(
-        "intercept", (F.col("_sy") - F.col("slope") * F.col("_st")) / F.when(F.col("_n") > 0, F.col("_n")))
+    slope, intercept = _line(*[F.col(c) for c in ("_n", "_st", "_stt", "_sy", "_sty")])
+    by_day = by_day.withColumns({"slope": slope, "intercept": intercept})
     guess = F.coalesce(F.col("intercept") + F.col("slope") * t, F.lit(0.0))
     error = F.col("syy") - 2 * guess * sy + F.col("rows") * guess * guess
     tested = F.sum(F.when(~train, F.col("rows")))
@@ -251,6 +261,35 @@ def trend_forecast(df: DataFrame, group: str = "model_num", days: int = TEST_DAY
                    F.lit(1000.0)).alias("RMSE"))
 
 
+def trend_trials(df: DataFrame, group: str = "model_num", n_trials: int = 9, seed: int = 2025,
+                 days: int = TEST_DAYS) -> DataFrame:
+    """Recency-weighted lines for sampled weights: ``group, trial, newer_samples_weight, slope, RMSE``.
+
+    The weight of a day is linear in the sampled value, so two sets of sums per group serve all trials.
+    """
+    by_day = _by_day(df, group, days)
+    whole = Window.partitionBy(group)  # one row per calendar day
+    newest = F.max(F.when(F.col("train"), F.col("t"))).over(whole)
+    by_day = by_day.withColumn("age", F.when(newest > 0, F.col("t") / newest).otherwise(0.0))
+    n, t, sy, rows = F.col("points").cast("double"), F.col("t"), F.col("sy"), F.col("rows").cast("double")
+    fit = {"n": n, "t": n * t, "tt": n * t * t, "y": sy, "ty": sy * t}
+    check = {"n": rows, "t": rows * t, "tt": rows * t * t, "y": sy, "ty": sy * t, "yy": F.col("syy")}
+    sums = by_day.groupBy(group).agg(
+        *[F.sum(F.when(F.col("train"), v).otherwise(0.0)).alias(f"plain_{k}") for k, v in fit.items()],
+        *[F.sum(F.when(F.col("train"), v * F.col("age")).otherwise(0.0)).alias(f"aged_{k}") for k, v in fit.items()],
+        *[F.sum(F.when(~F.col("train"), v).otherwise(0.0)).alias(f"test_{k}") for k, v in check.items()])
+    tried = trials.sample(sums, group, {"newer_samples_weight": SEARCH_SPACE["newer_samples_weight"]}, n_trials, seed)
+    extra = F.col("newer_samples_weight") - 1
+    slope, intercept = _line(*[F.col(f"plain_{k}") + extra * F.col(f"aged_{k}") for k in fit])
+    tried = tried.withColumns({"slope": slope, "_a": F.coalesce(intercept, F.lit(0.0))})
+    a, b = F.col("_a"), F.coalesce(F.col("slope"), F.lit(0.0))
+    test = {k: F.col(f"test_{k}") for k in check}
+    error = (test["yy"] - 2 * a * test["y"] - 2 * b * test["ty"] + a * a * test["n"] + 2 * a * b * test["t"]
+             + b * b * test["tt"])
+    rmse = F.when(test["n"] > 0, F.sqrt(F.greatest(error, F.lit(0.0)) / test["n"])).otherwise(F.lit(1000.0))
+    return tried.select(group, "trial", "newer_samples_weight", "slope", rmse.alias("RMSE"))
+
+
 # --- search per model group -------------------------------------------------------------------------
 
 SEARCH_SPACE = {

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quern.operators import panel, trials
 from quern.plans import standins as st
-from quern.plans.registry import query
+from quern.plans.registry import query, sql_uniform
 
 SALES = f"WITH {st.SALES_SQL}"
 DAILY = f"WITH {st.DAILY_SQL}"
@@ -208,3 +208,38 @@ def guided_trials(spark, sf):
     """Twelve trials per model, the last four suggested from the log; the best of each model."""
     log = panel.guided_trials(panel.moments(panel.design(st.daily_panel(spark, sf))))
     return trials.best(log, "loss", "min", groups=["model_num"])
+
+
+TREND_TRIALS_SQL = f"""
+{SALES}, cut AS (SELECT model_num, max(date_time) - 7 AS cutoff, min(date_time) AS first_ds FROM sales_panel GROUP BY 1),
+timed AS (SELECT p.model_num, p.y, datediff('day', first_ds, date_time)::DOUBLE AS t, date_time < cutoff AS train
+  FROM sales_panel p JOIN cut USING (model_num)),
+aged AS (SELECT *, t / max(CASE WHEN train THEN t END) OVER (PARTITION BY model_num) AS age FROM timed),
+tried AS (SELECT model_num, trial, 1 + {sql_uniform(2025, "model_num || '-' || trial", "newer_samples_weight")} * 6 AS newest
+  FROM (SELECT DISTINCT model_num FROM timed), range(9) r(trial)),
+weighted AS (SELECT a.*, trial, newest, 1 + (newest - 1) * age AS w FROM aged a JOIN tried USING (model_num)),
+sums AS (SELECT model_num, trial, sum(w) AS w, sum(w * t) AS wt, sum(w * t * t) AS wtt, sum(w * y) AS wy, sum(w * t * y) AS wty
+  FROM weighted WHERE train AND y IS NOT NULL GROUP BY 1, 2),
+lines AS (SELECT *, (w * wty - wt * wy) / (w * wtt - wt * wt) AS slope FROM sums),
+scored AS (SELECT x.model_num, x.trial, any_value(newest) AS newest, any_value(slope) AS slope,
+  sqrt(avg(pow(coalesce(y, 0) - ((wy - slope * wt) / l.w + slope * t), 2))) AS rmse
+  FROM weighted x JOIN lines l USING (model_num, trial) WHERE NOT train GROUP BY 1, 2)"""
+
+
+@query("trend_trials", f"""{TREND_TRIALS_SQL}
+SELECT model_num, CAST(trial AS INTEGER) AS trial, round(newest, 6) AS newer_samples_weight, round(slope, 4) AS slope,
+  round(rmse, 2) AS "RMSE" FROM scored""")
+def trend_trials(spark, sf):
+    frame = panel.to_long_frame(st.sales_panel(spark, sf), keep=["model_num"])
+    out = panel.trend_trials(frame)
+    return out.withColumns({"newer_samples_weight": F.round("newer_samples_weight", 6), "slope": F.round("slope", 4),
+                            "RMSE": F.round("RMSE", 2)})
+
+
+@query("trend_search_best", f"""{TREND_TRIALS_SQL}
+SELECT model_num, CAST(trial AS INTEGER) AS trial, round(newest, 6) AS newer_samples_weight, round(rmse, 2) AS "RMSE" FROM scored
+QUALIFY row_number() OVER (PARTITION BY model_num ORDER BY round(rmse, 2), trial) = 1""")
+def trend_search_best(spark, sf):
+    """The best of nine weighted fits of every model group."""
+    found = trials.best(trend_trials(spark, sf), "RMSE", "min", groups=["model_num"])
+    return found.select("model_num", "trial", "newer_samples_weight", "RMSE")

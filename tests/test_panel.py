@@ -167,6 +167,23 @@ def test_trend_forecast_on_rows(spark):
         assert r["slope"] == pytest.approx(slope) and r["RMSE"] == pytest.approx(np.sqrt(np.mean(error ** 2)))
 
 
+def test_weighted_trends_on_rows(spark):
+    frame = make_panel(spark)
+    rows = frame.toPandas()
+    log = panel.trend_trials(frame, n_trials=3).collect()
+    assert len(log) == 6
+    for r in log:
+        part = rows[rows["model_num"] == r["model_num"]]
+        t = np.array([(d - DAY).days for d in part["ds"]], float)
+        y = part["y"].to_numpy(float)
+        train = t < t.max() - 7
+        seen = train & ~np.isnan(y)
+        w = 1 + (r["newer_samples_weight"] - 1) * t[seen] / t[train].max()
+        slope, intercept = np.polyfit(t[seen], y[seen], 1, w=np.sqrt(w))
+        error = np.nan_to_num(y[~train]) - (intercept + slope * t[~train])
+        assert r["slope"] == pytest.approx(slope) and r["RMSE"] == pytest.approx(np.sqrt(np.mean(error ** 2)))
+
+
 def test_group_without_history_gets_the_sentinel(spark):
     frame = spark.createDataFrame([(1, 1, day(0), None)], "model_num bigint, ID int, ds date, y double")
     row = panel.trend_forecast(frame).first()
