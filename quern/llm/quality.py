@@ -14,7 +14,8 @@ SPACE = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
 FEATURES = 1 << 16
 SMOOTHING = 1.0
-THRESHOLD = 0.0
+#: Mean log ratio from which a document is kept.
+THRESHOLD = -0.1
 MIN_WORDS = 50
 MAX_REPEAT = 50
 
