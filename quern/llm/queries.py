@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, packing, quality, sharding
+from quern.llm import bpe, fingerprint, packing, quality, sharding
 
 TOKENIZER = "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,8 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), with_ids=False)
+
+
+@query
+def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.near_edited(table(spark, sf_dir, "documents"))
