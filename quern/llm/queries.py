@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, fingerprint, packing, quality, sharding
+from quern.llm import bpe, fingerprint, jaccard, packing, quality, sharding
 
 TOKENIZER = "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,8 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.near_edited(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
