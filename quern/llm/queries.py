@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, fingerprint, jaccard, packing, quality, sharding
+from quern.llm import bpe, chunking, fingerprint, jaccard, packing, quality, sharding, suffixes
 
 TOKENIZER = "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,14 @@ def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
+@query
+def op9_chunking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.dedup_chunks(table(spark, sf_dir, "documents")).drop("mark")
+
+
+@query
+def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.dedup_suffixes(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
