@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, chunking, fingerprint, jaccard, packing, quality, sharding, suffixes
+from quern.llm import bpe, chunking, fingerprint, html_text, jaccard, packing, quality, sharding, suffixes
 
 TOKENIZER = "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,8 @@ def op9_chunking(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.dedup_suffixes(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
