@@ -39,8 +39,8 @@ SIDE_HINTS = {"ad", "ads", "advert", "advertisement", "banner", "breadcrumb", "b
               "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
 MAIN_HINTS = {"article", "content", "entry", "main", "post", "story", "text"}
 
-FEATURES = ("in_side", "in_main", "in_main_hint", "link_density", "words", "link_density_before", "words_before",
-            "link_density_after", "words_after", "is_heading", "in_list", "main_on_page")
+FEATURES = ("in_side", "in_main", "main_on_page", "in_main_hint", "link_density", "words", "link_density_before",
+            "words_before", "link_density_after", "words_after", "is_heading", "in_list")
 
 
 class Block:
@@ -124,11 +124,10 @@ def features(found: list[Block]) -> np.ndarray:
     density = np.array([b.linked / b.words for b in found], float)
     out = np.zeros((n, len(FEATURES)))
     flags = np.array([b.flags for b in found], float)
-    out[:, :3], out[:, 9:11] = flags[:, :3], flags[:, 3:]
-    out[:, 11] = flags[:, 1].max()
-    out[:, 3], out[:, 4] = density, words
-    out[1:, 5], out[1:, 6] = density[:-1], words[:-1]
-    out[:-1, 7], out[:-1, 8] = density[1:], words[1:]
+    out[:, :2], out[:, 2], out[:, 3], out[:, 10:] = flags[:, :2], flags[:, 1].max(), flags[:, 2], flags[:, 3:]
+    out[:, 4], out[:, 5] = density, words
+    out[1:, 6], out[1:, 7] = density[:-1], words[:-1]
+    out[:-1, 8], out[:-1, 9] = density[1:], words[1:]
     return out
 
 
