@@ -108,7 +108,7 @@ def repeated_runs(data: bytes, starts: list[int], min_run: int = MIN_RUN) -> lis
 
 
 def dedup_chunks(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, mark, text, n_bytes, n_removed, n_spans, kept_sha256``: every row without repeated chunks.
+    """``doc_id, row, text, n_bytes, n_removed, n_spans, kept_sha256``: every row without repeated chunks.
 
     Rows with the same id and text are one document.  A null text counts as empty; a null id comes before all
     others.  A text shorter than ``min_run`` is never cut.  An empty table gives an empty table.
@@ -124,3 +124,13 @@ def dedup_chunks(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_id"
     spots = (later.select("doc_id", mark_of(F.col("place")).alias("mark"), start_of(F.col("place")).alias("start"))
              .groupBy("doc_id", "mark").agg(F.collect_set("start").alias("spots")))
     return cut_out(rows, spots, lambda data, starts: repeated_runs(data, starts, min_run), "array<bigint>")
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars",
+                    min_run: int = MIN_RUN) -> DataFrame:
+    """``docs`` with the repeated chunks cut out of their texts, and ``chars_col``, if there, counted anew."""
+    done = dedup_chunks(docs, min_run, id_col, text_col)
+    new = {id_col: F.col("doc_id"), text_col: F.col("text")}
+    if chars_col in docs.columns:
+        new[chars_col] = F.length("text").cast(docs.schema[chars_col].dataType)
+    return done.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])

@@ -7,6 +7,8 @@ the score reaches a fixed threshold.  DataFrame operations only.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,11 +53,11 @@ def repeat_words(words: Column, hashes: Column) -> Column:
 
 
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, the words, and the counts of the base rules."""
+    """``doc_id``, the words, the counts of the base rules, and the whole row as ``row``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     with_word = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, " \t\n\x0b\x0c\r", "")) > 0)
     first = docs.select(
-        F.col(id_col).alias("doc_id"), words_of(text).alias("words"),
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col(id_col).alias("doc_id"), words_of(text).alias("words"),
         F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         with_word.alias("_lines"))
@@ -70,34 +72,30 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.transform(held, lambda x, i: F.least(F.lit(3), F.coalesce(F.get(held, i + 1) - x, F.lit(3)))),
         F.lit(0).cast("long"), lambda a, x: a + x)
     return third.select(
-        "doc_id", "words", F.size("words").cast("long").alias("n_words"), "word_chars", "n_symbols",
+        "row", "doc_id", "words", F.size("words").cast("long").alias("n_words"), "word_chars", "n_symbols",
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         covered.alias("n_repeat_words"))
 
 
-def gram_ratios(docs: DataFrame, trusted: DataFrame, features: int = FEATURES, smoothing: float = SMOOTHING,
-                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``gram, n_raw, n_trusted, ratio`` over all documents; ``trusted`` has one row per trusted ``doc_id``.
+def gram_counts(docs: DataFrame, trusted: DataFrame, features: int = FEATURES, id_col: str = "doc_id",
+                text_col: str = "text") -> DataFrame:
+    """``gram, n_raw, n_trusted`` over all documents; ``trusted`` has a row for each trusted ``doc_id``.
 
-    Every document is counted in the raw multinomial, trusted ones in both.  Grams that no document has are
-    left out; their ratio is that of two smoothed zeros.
+    Every document is counted in the raw multinomial, trusted ones in both.
     """
     ids = trusted.select(F.col(id_col).alias("_id"), F.lit(1).alias("_trusted")).dropDuplicates(["_id"])
     own = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     marked = own.join(ids.hint("shuffle_hash"), F.col("doc_id") == F.col("_id"), "left")
     grams = marked.select("_trusted", words_of(F.col("_text")).alias("_words")) \
         .select("_trusted", F.explode(grams_of(F.col("_words"), features)).alias("gram"))
-    counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n_raw"), F.count("_trusted").alias("n_trusted"))
-    return counts
+    return grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n_raw"), F.count("_trusted").alias("n_trusted"))
 
 
 def ratio_table(counts: DataFrame, features: int = FEATURES, smoothing: float = SMOOTHING) -> list[float]:
-    """The log ratio of every gram; at most ``features`` rows come to the driver."""
-    rows = counts.collect()
+    """The log ratio of every gram from smoothed counts; at most ``features`` rows come to the driver."""
     raw, trusted = [0] * features, [0] * features
-    for r in rows:
+    for r in counts.collect():
         raw[r["gram"]], trusted[r["gram"]] = r["n_raw"], r["n_trusted"]
-    import math
     n_raw, n_trusted = sum(raw) + smoothing * features, sum(trusted) + smoothing * features
     return [round(math.log((t + smoothing) / n_trusted) - math.log((r + smoothing) / n_raw), 9)
             for r, t in zip(raw, trusted)]
@@ -105,7 +103,7 @@ def ratio_table(counts: DataFrame, features: int = FEATURES, smoothing: float =
 
 def score(docs: DataFrame, ratios: list[float], threshold: float = THRESHOLD, features: int = FEATURES,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The counts, ``base_failed``, ``llr`` and ``kept`` of every row of ``docs``."""
+    """The counts, ``base_failed``, ``llr`` and ``kept`` of every row of ``docs``, and the row itself as ``row``."""
     table = F.split(F.lit(" ".join(map(repr, ratios))), " ").cast("array<double>")  # one literal
     base = measures(docs, id_col, text_col).withColumn("_grams", grams_of(F.col("words"), features)).drop("words")
     total = F.aggregate("_grams", F.lit(0.0), lambda a, g: a + F.get(table, g))
@@ -123,5 +121,12 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESH
     own; a null id is never trusted.  Without any trusted document the ratio still is defined (both
     multinomials are smoothed).  An empty table gives an empty table.
     """
-    ratios = ratio_table(gram_ratios(docs, trusted, features, id_col=id_col, text_col=text_col), features)
-    return score(docs, ratios, threshold, features, id_col, text_col)
+    ratios = ratio_table(gram_counts(docs, trusted, features, id_col=id_col, text_col=text_col), features)
+    return score(docs, ratios, threshold, features, id_col, text_col).drop("row")
+
+
+def keep_good(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, features: int = FEATURES,
+              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns."""
+    ratios = ratio_table(gram_counts(docs, trusted, features, id_col=id_col, text_col=text_col), features)
+    return score(docs, ratios, threshold, features, id_col, text_col).where("kept").select("row.*")

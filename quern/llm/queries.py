@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, chunking, fingerprint, html_text, jaccard, packing, quality, sharding, suffixes
+from quern.llm import bpe, chunking, fingerprint, html_text, jaccard, packing, quality, sharding, suffixes, toxicity
 
 TOKENIZER = "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,7 +59,7 @@ def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_chunking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunking.dedup_chunks(table(spark, sf_dir, "documents")).drop("mark")
+    return chunking.dedup_chunks(table(spark, sf_dir, "documents")).drop("row")
 
 
 @query
@@ -71,3 +71,9 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))

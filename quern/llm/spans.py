@@ -8,15 +8,20 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 START_BITS = 32
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, mark, text``: ``mark`` (32 bits of the text's hash) tells rows with one id apart; null text is empty."""
+    """``doc_id, mark, text, row``: ``mark`` (32 bits of the text's hash) tells rows with one id apart.
+
+    A null text is empty.  ``row`` has the other columns.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("doc_id"),
-                       F.shiftrightunsigned(F.xxhash64(text), 32).cast("long").alias("mark"), text.alias("text"))
+    rest = [docs[c] for c in docs.columns if c not in (id_col, text_col)] or [F.lit(None).cast("int").alias("none")]
+    return docs.select(F.col(id_col).alias("doc_id"), F.shiftrightunsigned(F.xxhash64(text), 32).cast("long").alias("mark"),
+                       text.alias("text"), F.struct(*rest).alias("row"))
 
 
 def place_of(mark: Column | str, start: Column | str) -> Column:
@@ -55,9 +60,9 @@ def cut(data: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def cut_out(rows: DataFrame, spots: DataFrame, spans_of: Callable[[bytes, list], list[tuple[int, int]]],
             spot_type: str) -> DataFrame:
-    """``doc_id, mark, text, n_bytes, n_removed, n_spans, kept_sha256`` for ``rows`` without their spans.
+    """``doc_id, row, text, n_bytes, n_removed, n_spans, kept_sha256`` for ``rows`` without their spans.
 
-    ``spots`` has ``doc_id, mark, spots``, at most one row per document; ``spans_of(data, spots)`` gives
+    ``rows`` are those of ``keyed``; ``spots`` has ``doc_id, mark, spots``, at most one row per document; ``spans_of(data, spots)`` gives
     the spans of one text, apart and in order.  ``text`` is null where the rest is not UTF-8.
     """
 
@@ -78,10 +83,13 @@ def cut_out(rows: DataFrame, spots: DataFrame, spans_of: Callable[[bytes, list],
                 sums.append(hashlib.sha256(kept).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(text, pa.string()), *(pa.array(v, pa.int64()) for v in (size, gone, count)),
-                 pa.array(sums, pa.string())], ["doc_id", "mark", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                 pa.array(sums, pa.string())], ["doc_id", "row", "text", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    rest = rows.schema["row"].dataType
     other = spots.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "spots")
     both = rows.join(other, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")
-    return both.select("doc_id", "mark", "text", F.col("spots").cast(spot_type)).mapInArrow(
-        run, f"doc_id {kind}, mark bigint, text string, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    schema = StructType().add("doc_id", rows.schema["doc_id"].dataType).add("row", rest)
+    for name, kind in (("text", "string"), ("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"),
+                       ("kept_sha256", "string")):
+        schema = schema.add(name, kind)
+    return both.select("doc_id", "row", "text", F.col("spots").cast(spot_type)).mapInArrow(run, schema)

@@ -181,7 +181,7 @@ def marked(group: list[tuple[int, int, bytes]], parts: int, length: int = LENGTH
 
 def dedup_suffixes(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_col: str = "doc_id",
                    text_col: str = "text", split: int = SPLIT) -> DataFrame:
-    """``doc_id, mark, text, n_bytes, n_removed, n_spans, kept_sha256``: every row without repeated strings.
+    """``doc_id, row, text, n_bytes, n_removed, n_spans, kept_sha256``: every row without repeated strings.
 
     Texts are UTF-8 bytes, strings never cross documents, and all places are judged on the input.  Every row
     is a document, so a repeated row of ``length`` bytes or more loses all its text.  A null text counts as
