@@ -152,14 +152,14 @@ def block_links(nodes: list[bytes], copies: list[int], sides: list[int], sets: l
 
 
 def _forest(x: np.ndarray, y: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Fewer pairs with the same connected parts: each place with its least and the least with all its own."""
+    """Fewer pairs with the same connected parts: each place with its least one, and the least ones of each pair."""
     if not len(x):
         return x, y
     least = np.arange(n)
     np.minimum.at(least, x, y)
     np.minimum.at(least, y, x)
-    a = np.concatenate([x, least[x]])
-    b = np.concatenate([least[x], least[y]])
+    a = np.concatenate([x, y, least[x]])
+    b = np.concatenate([least[x], least[y], least[y]])
     keys = np.unique(a * n + b)
     return keys // n, keys % n
 
