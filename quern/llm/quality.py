@@ -129,4 +129,6 @@ def keep_good(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD,
               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
     ratios = ratio_table(gram_counts(docs, trusted, features, id_col=id_col, text_col=text_col), features)
-    return score(docs, ratios, threshold, features, id_col, text_col).where("kept").select("row.*")
+    # the row number keeps the filter above the projections, which would be worked out again inside of it
+    judged = score(docs, ratios, threshold, features, id_col, text_col).withColumn("_at", F.monotonically_increasing_id())
+    return judged.where("kept and _at >= 0").select("row.*")
