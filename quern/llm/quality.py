@@ -92,12 +92,16 @@ def gram_counts(docs: DataFrame, trusted: DataFrame, features: int = FEATURES, i
 
 
 def ratio_table(counts: DataFrame, features: int = FEATURES, smoothing: float = SMOOTHING) -> list[float]:
-    """The log ratio of every gram from smoothed counts; at most ``features`` rows come to the driver."""
+    """The log ratio of every gram from smoothed counts; at most ``features`` rows come to the driver.
+
+    The occurrence that is being scored is left out of the raw count, or else rare grams of documents that
+    are not trusted would count against them in a small corpus.
+    """
     raw, trusted = [0] * features, [0] * features
     for r in counts.collect():
         raw[r["gram"]], trusted[r["gram"]] = r["n_raw"], r["n_trusted"]
     n_raw, n_trusted = sum(raw) + smoothing * features, sum(trusted) + smoothing * features
-    return [round(math.log((t + smoothing) / n_trusted) - math.log((r + smoothing) / n_raw), 9)
+    return [round(math.log((t + smoothing) / n_trusted) - math.log((max(r - 1, 0) + smoothing) / n_raw), 9)
             for r, t in zip(raw, trusted)]
 
 

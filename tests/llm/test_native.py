@@ -80,7 +80,7 @@ def brute(docs, trusted, features):
         raw.update(own)
         if i in trusted:
             good.update(own)
-    ratio = [math.log((good[g] + 1) / (sum(good.values()) + features)) - math.log((raw[g] + 1) / (sum(raw.values()) + features))
+    ratio = [math.log((good[g] + 1) / (sum(good.values()) + features)) - math.log((max(raw[g] - 1, 0) + 1) / (sum(raw.values()) + features))
              for g in range(features)]
     for i, text in docs:
         own = grams(text or "", features)
