@@ -36,7 +36,7 @@ def log_uniform(u: Column, lo: float, hi: float) -> Column:
 
 def stepped(u: Column, lo: float, hi: float, step: float) -> Column:
     """lo, lo + step, ... up to the last value not above hi (both ends reachable)."""
-    count = round((hi - lo) / step) + 1
+    count = math.floor((hi - lo) / step + 1e-9) + 1
     return F.lit(float(lo)) + F.lit(float(step)) * F.floor(u * F.lit(float(count)))
 
 

@@ -1,27 +1,10 @@
-"""Join helpers that look at sizes before they choose a broadcast."""
+"""Join helpers."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.session import ensure_checkpoint_dir
-
-MAX_BROADCAST_ROWS = 200_000
-
-
-def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``df``, computed once, marked for broadcast if it has at most ``max_rows`` rows.
-
-    Meant for narrow frames such as one row per group.  The frame is checkpointed, so the check and the
-    join share one evaluation.  A larger frame is joined by sort-merge, where adaptive execution splits
-    hot keys of the other side.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    done = df.checkpoint()
-    return F.broadcast(done) if done.count() <= max_rows else done
-
-
 def match_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join on ``keys`` with null equal to null; the left keys are kept."""
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})

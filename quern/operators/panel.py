@@ -26,7 +26,6 @@ CHANGEPOINT_RANGE = 0.8
 IMPUTE_LINEAR = 10
 IMPUTE_ROLLING = 1000
 SERIES_PER_MODEL = 100
-MAX_GROUP_ROWS = 2_000_000
 
 
 def melt(wide: DataFrame, ids: Sequence[str], variable: str, value: str) -> DataFrame:
@@ -36,7 +35,7 @@ def melt(wide: DataFrame, ids: Sequence[str], variable: str, value: str) -> Data
 
 def attach_calendar(long: DataFrame, calendar: DataFrame, label: str) -> DataFrame:
     """Add the calendar columns of a day label; days without an entry keep nulls."""
-    return long.join(joins.small_side(calendar), label, "left")
+    return long.join(calendar, label, "left")
 
 
 def attach_price(long: DataFrame, prices: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -55,7 +54,7 @@ def number_series(df: DataFrame, keys: Sequence[str], out: str = "item_num") ->
     """
     keys = list(keys)
     numbered = ordering.row_numbers(df.select(*keys).distinct(), keys, out)
-    return joins.match_keys(df, joins.small_side(numbered), keys).withColumn(out, F.col(out).cast("int"))
+    return joins.match_keys(df, numbered, keys).withColumn(out, F.col(out).cast("int"))
 
 
 def first_n(df: DataFrame, n: int, number: str = "item_num") -> DataFrame:
@@ -86,17 +85,13 @@ def group_stats(df: DataFrame, group: str) -> DataFrame:
 
 
 def map_groups(df: DataFrame, group: str, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str,
-               order: Sequence[str] = (), max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+               order: Sequence[str] = ()) -> DataFrame:
     """``fn`` on the whole pandas frame of every group, rows in ``order``.
 
-    A group is one frame in one task, so the largest one is looked at first and refused beyond
-    ``max_rows``; a fit that must take any size is written with sums, as ``moments`` and
+    A group is one frame in one task.  Use it for groups that are bounded by construction, such as a daily
+    series; a fit over groups of any size is written with mergeable sums, as ``moments`` and
     ``trend_forecast`` are.
     """
-    largest = df.groupBy(group).count().agg(F.max("count")).first()[0] or 0
-    if largest > max_rows:
-        raise ValueError(f"a group of {group} has {largest} rows, more than the {max_rows} one task may hold")
-
     def run(part: pd.DataFrame) -> pd.DataFrame:
         return fn(part.sort_values(list(order), ignore_index=True) if order else part)
 
@@ -112,7 +107,7 @@ def model_count(df: DataFrame, concurrent: int, batches: int) -> DataFrame:
 
 def _with_last_day(df: DataFrame, group: str) -> DataFrame:
     last = df.groupBy(group).agg(F.max("ds").alias("_last"))
-    return joins.match_keys(df, joins.small_side(last), [group])
+    return joins.match_keys(df, last, [group])
 
 
 def temporal_split(df: DataFrame, group: str, days: int = TEST_DAYS) -> DataFrame:
@@ -201,7 +196,7 @@ def _train_range(df: DataFrame, group: str, days: int) -> DataFrame:
 
 def trend_basis(df: DataFrame, group: str, n: int = N_CHANGEPOINTS, days: int = TEST_DAYS) -> DataFrame:
     """Relative time ``t`` and hinge columns ``hinge_1 .. hinge_n`` = max(t - changepoint, 0)."""
-    ranged = joins.match_keys(df, joins.small_side(_train_range(df, group, days)), [group])
+    ranged = joins.match_keys(df, _train_range(df, group, days), [group])
     ranged = ranged.withColumn("t", relative_time(F.col("ds"), F.col("_from"), F.col("_to")))
     ranged = ranged.drop("_last", "_from", "_to", "_top")
     return ranged.withColumns({f"hinge_{i}": F.greatest(F.col("t") - F.lit(c), F.lit(0.0))
@@ -211,7 +206,7 @@ def trend_basis(df: DataFrame, group: str, n: int = N_CHANGEPOINTS, days: int =
 def recency_weight(df: DataFrame, group: str, newest: float) -> DataFrame:
     """Weight 1 on the group's first day, growing linearly to ``newest`` on its last."""
     span = df.groupBy(group).agg(F.min("ds").alias("_from"), F.max("ds").alias("_to"))
-    ranged = joins.match_keys(df, joins.small_side(span), [group])
+    ranged = joins.match_keys(df, span, [group])
     weight = 1 + F.lit(float(newest) - 1) * relative_time(F.col("ds"), F.col("_from"), F.col("_to"))
     return ranged.withColumn("sample_weight", weight).drop("_from", "_to")
 
@@ -303,7 +298,7 @@ def design(panel: DataFrame, n_changepoints: int = N_CHANGEPOINTS, n_lags: int =
            days: int = TEST_DAYS) -> DataFrame:
     """Regular daily rows ``model_num, ID, ds, y, y_filled, lag_*, t, train, scale``."""
     rows = add_lags(regularize(panel, ["model_num", "ID"]), ["model_num", "ID"], n_lags)
-    rows = joins.match_keys(rows, joins.small_side(_train_range(panel, "model_num", days)), ["model_num"])
+    rows = joins.match_keys(rows, _train_range(panel, "model_num", days), ["model_num"])
     return rows.select(
         "model_num", "ID", "ds", "y", "y_filled", *[f"lag_{k}" for k in range(1, n_lags + 1)],
         F.coalesce(relative_time(F.col("ds"), F.col("_from"), F.col("_to")), F.lit(0.0)).alias("t"),

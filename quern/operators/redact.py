@@ -30,7 +30,8 @@ HINT = "@|[0-9](?:[0-9]{15}|[0-9]{2}-[0-9]{4}|[.][0-9]{1,3}[.])"
 def label_of(word: Column, rules: Mapping[str, str] = RULES) -> Column:
     out = None
     for label, pattern in rules.items():
-        test = word.contains("@") & word.rlike(pattern) if "@" in pattern else word.rlike(pattern)
+        # every match of the built-in pattern has an @, which is quick to look for; other patterns may not
+        test = word.contains("@") & word.rlike(pattern) if pattern == RULES["EMAIL"] else word.rlike(pattern)
         out = F.when(test, F.lit(label)) if out is None else out.when(test, F.lit(label))
     return out.otherwise(F.lit(OUTSIDE))
 

@@ -164,17 +164,20 @@ def append_reports(spark: SparkSession, table: str, rows: Sequence[tuple]) -> No
 
 
 def last_reports(log: DataFrame, keys: Sequence[str], iteration: str, values: Sequence[str]) -> DataFrame:
-    """The values of each trial's last report."""
-    return log.groupBy(*keys).agg(*[F.max_by(v, iteration).alias(v) for v in values],
-                                  F.max(iteration).alias(iteration))
+    """The values of each trial's last report; of two at one iteration, the larger in the order of ``values``."""
+    last = log.groupBy(*keys).agg(F.max(F.struct(iteration, *values)).alias("_last"))
+    return last.select(*keys, *[F.col("_last")[v].alias(v) for v in values], F.col("_last")[iteration].alias(iteration))
 
 
 def best(log: DataFrame, metric: str, mode: str = "max", trial: str = "trial", groups: Sequence[str] = ()) -> DataFrame:
-    """The best row, or the best row per group; ties go to the lowest trial.
+    """The best row, or the best row per group; ties go to the lowest trial, null and NaN come last.
 
     Only one row per group and task takes part in the exchange.
     """
-    order = [F.col(metric).desc_nulls_last() if mode == "max" else F.col(metric).asc_nulls_last(), F.col(trial)]
+    value = F.col(metric)
+    if log.schema[metric].dataType.typeName() in ("double", "float"):
+        value = F.when(~F.isnan(value), value)
+    order = [value.desc_nulls_last() if mode == "max" else value.asc_nulls_last(), F.col(trial)]
     if not groups:
         return log.orderBy(*order).limit(1)
     window = Window.partitionBy(*groups).orderBy(*order)
@@ -189,16 +192,12 @@ def elapsed(log: DataFrame, ts: str, seconds: str, groups: Sequence[str] = ()) -
     return log.groupBy(*groups).agg((span + last).alias("elapsed_seconds"), F.count(F.lit(1)).alias("reports"))
 
 
-def params_long(df: DataFrame, keys: Sequence[str], names: Sequence[str], digits: int = 6) -> DataFrame:
-    """Configurations as rows ``keys, param, value``; absent parameters are left out."""
+def params_long(df: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Configurations as rows ``keys, param, value``; absent parameters are left out.
 
-    def shown(name: str) -> Column:
-        kind = df.schema[name].dataType.typeName()
-        if kind not in ("double", "float"):
-            return F.col(name).cast("string")
-        return F.when(F.col(name).isNotNull(), F.format_string(f"%.{digits}f", F.col(name)))
-
-    typed = df.select(*keys, *[shown(n).alias(n) for n in names])
+    Values are strings that read back to the same number.
+    """
+    typed = df.select(*keys, *[F.col(n).cast("string").alias(n) for n in names])
     return typed.unpivot(list(keys), list(names), "param", "value").where(F.col("value").isNotNull())
 
 
@@ -293,7 +292,7 @@ def suggest(log: DataFrame, group: str | Sequence[str], param: str, loss: str, t
     ranking = Window.partitionBy(*keys).orderBy(F.col(loss), F.col(trial))
     top = log.withColumn("_rn", F.row_number().over(ranking)).where(F.col("_rn") <= GOOD_LIMIT)
     good_n = F.least(F.ceil(F.lit(GOOD_SHARE) * F.col("_n")), F.lit(GOOD_LIMIT))
-    per_group = joins.match_keys(top, joins.small_side(counted), keys).where(F.col("_rn") <= good_n)
+    per_group = joins.match_keys(top, counted, keys).where(F.col("_rn") <= good_n)
     per_group = per_group.groupBy(*keys).agg(  # at most GOOD_LIMIT values
         F.max("_n").alias("_n"),
         F.transform(F.array_sort(F.collect_list(F.struct("_rn", param))), lambda s: s[param]).alias("_good"))
@@ -311,7 +310,7 @@ def suggest(log: DataFrame, group: str | Sequence[str], param: str, loss: str, t
         near = F.greatest(F.lit(float(lo)), F.least(F.lit(float(hi)), mirrored))
         return F.when(F.col("_n") < startup, hashing.uniform(u("centre"), lo, hi)).otherwise(near)
 
-    per_group = joins.small_side(per_group.withColumn("_candidates", F.transform(numbers, candidate)))
+    per_group = per_group.withColumn("_candidates", F.transform(numbers, candidate))
 
     rows = joins.match_keys(log.select(*keys, param), per_group, keys)
     total = rows.groupBy(*keys).agg(*[

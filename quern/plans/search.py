@@ -11,6 +11,7 @@ from quern.plans.registry import query, sql_uniform
 from quern.sources.tables import load
 
 N_TRIALS = 40
+CLASSIFIER_PARAMS = list(trials.CLASSIFIER_SPACE)
 
 
 def _u(name, key="s_suppkey || '-' || trial"):
@@ -95,13 +96,16 @@ def trials_cross_data(spark, sf):
 
 
 @query("trial_params_long", f"""
-WITH {CLASSIFIER_SQL}, shown AS (SELECT s_suppkey, trial, classifier, printf('%.6f', C) AS "C", printf('%.6f', tol) AS tol,
-  CAST(forest_trees AS VARCHAR) AS forest_trees, CAST(boost_depth AS VARCHAR) AS boost_depth,
-  printf('%.6f', learning_rate) AS learning_rate FROM sampled)
-UNPIVOT shown ON classifier, "C", tol, forest_trees, boost_depth, learning_rate INTO NAME param VALUE value""")
+WITH {CLASSIFIER_SQL}, shown AS (SELECT s_suppkey, trial, {', '.join(f'CAST({p} AS VARCHAR) AS "{p}"' for p in CLASSIFIER_PARAMS)} FROM sampled),
+long AS (UNPIVOT shown ON {', '.join(f'"{p}"' for p in CLASSIFIER_PARAMS)} INTO NAME param VALUE value)
+SELECT s_suppkey, trial, param, round(TRY_CAST(value AS DOUBLE), 9) AS number,
+  CASE WHEN TRY_CAST(value AS DOUBLE) IS NULL THEN value END AS text FROM long""")
 def trial_params_long(spark, sf):
-    names = ["classifier", "C", "tol", "forest_trees", "boost_depth", "learning_rate"]
-    return trials.params_long(_sampled(spark, sf), ["s_suppkey", "trial"], names)
+    """All parameters, read back from their logged strings."""
+    long = trials.params_long(_sampled(spark, sf), ["s_suppkey", "trial"], CLASSIFIER_PARAMS)
+    number = F.col("value").try_cast("double")
+    return long.select("s_suppkey", "trial", "param", F.round(number, 9).alias("number"),
+                       F.when(number.isNull(), F.col("value")).alias("text"))
 
 
 @query("best_trial", """

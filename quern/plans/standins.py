@@ -10,7 +10,6 @@ from quern.sources.tables import load
 
 IDS = ["item_id", "dept_id", "cat_id", "store_id", "state_id"]
 SERIES_ORDER = ["state_id", "store_id", "cat_id", "dept_id", "item_id"]
-QUARTERS = [f"{year}Q{q}" for year in range(1995, 2002) for q in range(1, 5)]
 POSITIVE, NEGATIVE = ">50K", "<=50K"
 
 
@@ -29,8 +28,10 @@ def _sales(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sales_wide(spark: SparkSession, sf: str) -> DataFrame:
-    wide = _sales(spark, sf).groupBy(*IDS).pivot("d", QUARTERS).agg(F.sum("l_quantity"))
-    return wide.fillna(0.0, QUARTERS)
+    """One column per label of the calendar; the labels (one per quarter) are read first, as a wide file has them."""
+    labels = [r["d"] for r in calendar(spark, sf).select("d").sort("d").collect()]
+    wide = _sales(spark, sf).groupBy(*IDS).pivot("d", labels).agg(F.sum("l_quantity"))
+    return wide.fillna(0.0, labels)
 
 
 def calendar(spark: SparkSession, sf: str, gaps: bool = False) -> DataFrame:
@@ -73,7 +74,7 @@ sales AS (
          CAST(date_trunc('quarter', l_shipdate) AS DATE) AS date_time, l_quantity, p_retailprice
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey),
 calendar AS (SELECT DISTINCT d, wm_yr_wk, date_time FROM sales),
-labels_d AS (SELECT CAST(y AS VARCHAR) || 'Q' || CAST(q AS VARCHAR) AS d FROM range(1995, 2002) a(y), range(1, 5) b(q)),
+labels_d AS (SELECT DISTINCT d FROM calendar),
 series AS (SELECT DISTINCT item_id, dept_id, cat_id, store_id, state_id FROM sales),
 bought AS (SELECT item_id, store_id, d, sum(l_quantity) AS q FROM sales GROUP BY ALL),
 sales_long AS (

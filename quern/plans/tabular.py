@@ -31,7 +31,7 @@ def synthetic(spark, sf):
 
 def _sql_step(name, step):
     u = sql_uniform(2025, "i", name)
-    return (f"round(lo_{name} + {float(step)}::DOUBLE * floor({u} * (round((hi_{name} - lo_{name}) / {float(step)}) + 1)), 4)"
+    return (f"round(lo_{name} + {float(step)}::DOUBLE * floor({u} * (floor((hi_{name} - lo_{name}) / {float(step)} + 1e-9) + 1)), 4)"
             f" AS {name}")
 
 

@@ -17,11 +17,17 @@ AUDIO_SCHEMA = "path string, frame_rate int, channels int, array array<float>"
 
 
 def read_images(spark: SparkSession, folders: str | Sequence[str]) -> DataFrame:
-    """Decoded images: ``path, height, width, channels, pixels`` (bytes, rows of BGR triples)."""
-    frame = spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", True)
+    """Decoded images: ``path, height, width, channels, pixels, error`` (bytes, rows of BGR triples).
+
+    A file that cannot be decoded keeps its row, with nulls and a text in ``error``.
+    """
+    frame = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True)
     image = frame.load([folders] if isinstance(folders, str) else list(folders))
-    return image.select(F.col("image.origin").alias("path"), "image.height", "image.width",
-                        F.col("image.nChannels").alias("channels"), F.col("image.data").alias("pixels"))
+    good = F.col("image.nChannels") > 0
+    return image.select(
+        F.col("image.origin").alias("path"), F.when(good, F.col("image.height")).alias("height"),
+        F.when(good, F.col("image.width")).alias("width"), F.when(good, F.col("image.nChannels")).alias("channels"),
+        F.when(good, F.col("image.data")).alias("pixels"), F.when(~good, F.lit("not a readable image")).alias("error"))
 
 
 def _samples(content: bytes) -> tuple[int, int, np.ndarray]:

@@ -28,7 +28,8 @@ def synth_table(spark: SparkSession, rows: int, spec: Mapping[str, dict], seed:
         if "domain" in column:
             joins.append((name, column["domain"], u))
         elif "values" in column:
-            exprs[name] = hashing.pick(u, column["values"])
+            picked = hashing.pick(u, column["values"])
+            exprs[name] = picked.cast(column["type"]) if "type" in column else picked
         else:
             exprs[name] = hashing.stepped(u, column["min"], column["max"], column.get("step", 1))
     out = out.withColumns(exprs)
@@ -54,13 +55,20 @@ def synth_spec_from(df: DataFrame, exclude: tuple[str, ...] = (), steps: Mapping
     for field in df.schema.fields:
         name = field.name
         if name in numeric:
-            spec[name] = {"min": float(bounds[f"lo_{name}"]), "max": float(bounds[f"hi_{name}"]),
-                          "step": steps.get(name, 1)}
+            if bounds[f"lo_{name}"] is None:
+                spec[name] = {"values": [None], "type": "double"}
+            else:
+                spec[name] = {"min": float(bounds[f"lo_{name}"]), "max": float(bounds[f"hi_{name}"]),
+                              "step": steps.get(name, 1)}
         elif name in strings:
             domain = df.select(name).where(F.col(name).isNotNull()).distinct()
             if bounds[f"n_{name}"] > max_literal:
                 spec[name] = {"domain": domain}
                 continue
             head = domain.limit(2 * max_literal).collect()
-            spec[name] = {"values": sorted(r[0] for r in head)} if len(head) < 2 * max_literal else {"domain": domain}
+            if len(head) < 2 * max_literal:
+                values = sorted(r[0] for r in head)
+                spec[name] = {"values": values} if values else {"values": [None], "type": "string"}
+            else:
+                spec[name] = {"domain": domain}
     return spec

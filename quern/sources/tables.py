@@ -41,7 +41,7 @@ def list_files(spark: SparkSession, folders: str | Sequence[str], glob: str | No
     listed = read_binary(spark, folders, glob).drop("content")
     return listed.select("path", F.element_at(F.split("path", "/"), -1).alias("name"),
                          F.col("length").alias("size"), "modificationTime",
-                         F.regexp_replace("path", "^(dbfs|file):/*", "/").alias("file_path"))
+                         F.regexp_replace("path", "^[A-Za-z][A-Za-z0-9+.-]*:/*", "/").alias("file_path"))
 
 
 def empty_like(spark: SparkSession, schema: T.StructType | str) -> DataFrame:

@@ -11,16 +11,12 @@ SIZES = [(w, h) for w in (100, 317, 448, 632, 634, 900, 1344, 1500) for h in (90
 
 
 def plan(width, height, size=448, most=6):
-    """Walk over the grids by number of tiles."""
-    best, gap = None, float("inf")
-    for n in range(1, most + 1):
-        for i in range(1, n + 1):
-            if n % i:
-                continue
-            d = abs(width / height - i / (n // i))
-            if d < gap or (d == gap and width * height > 0.5 * size * size * n):
-                best, gap = (i, n // i), d
-    return best
+    """The closest shape; of several, the last one of which the image fills more than half, else the smallest."""
+    grids = sorted(((i, j) for i in range(1, most + 1) for j in range(1, most // i + 1)), key=lambda g: (g[0] * g[1], g[0]))
+    gaps = [abs(width / height - i / j) for i, j in grids]
+    tied = [g for g, gap in zip(grids, gaps) if gap == min(gaps)]
+    filled = [(i, j) for i, j in tied if 2 * width * height > size * size * i * j]
+    return (filled or tied[:1])[-1]
 
 
 @pytest.fixture(scope="module")

@@ -70,12 +70,6 @@ def test_draws_do_not_depend_on_partitions(spark):
     assert a == b and 0 <= a[0] and a[-1] < 1 and abs(sum(a) / 500 - 0.5) < 0.05
 
 
-@pytest.mark.parametrize("max_rows,marked", [(10, True), (2, False)])
-def test_small_side_checks_size(spark, max_rows, marked):
-    side = joins.small_side(spark.range(5), max_rows)
-    assert ("ResolvedHint" in side._jdf.queryExecution().analyzed().toString()) is marked
-
-
 def test_match_keys_joins_null_to_null(spark):
     left = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
     right = spark.createDataFrame([(None, 10), ("a", 20)], "k string, w int")

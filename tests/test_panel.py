@@ -196,7 +196,7 @@ def test_model_count(spark):
     assert set(panel.SEARCH_SPACE) <= set(trials.sample(frame, "model_num", panel.SEARCH_SPACE, 2).columns)
 
 
-def test_map_groups_sorts_and_checks_size(spark):
+def test_map_groups_sorts(spark):
     frame = spark.createDataFrame([(1, day(2), 3.0), (1, day(1), 2.0), (2, day(5), 1.0)], "g int, ds date, y double")
 
     def first(part):
@@ -204,5 +204,3 @@ def test_map_groups_sorts_and_checks_size(spark):
 
     out = panel.map_groups(frame, "g", first, "g int, y double", order=["ds"]).collect()
     assert sorted(map(tuple, out)) == [(1, 2.0), (2, 1.0)]
-    with pytest.raises(ValueError):
-        panel.map_groups(frame, "g", first, "g int, y double", max_rows=1)

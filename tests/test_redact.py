@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import pytest
@@ -6,24 +7,26 @@ from pyspark.sql import functions as F
 from quern.operators import redact
 
 
-def fold(text, tokens, aggregate, legacy):
-    """Spans by a plain walk over the tokens."""
-    spans, open_at, open_label, last_end = [], None, None, None
-    for start, end, label in tokens:
-        if start == end:
+def spans_of(text, tokens, aggregate, legacy):
+    """Specification: words in a row with one label (any label, if aggregated) are a span.
+
+    It ends with its last word, at the word that brings another label, or, in the legacy form, with the
+    unlabelled word after it or the text.
+    """
+    words = [t for t in tokens if t[0] < t[1]]
+    runs = [(kind, list(run)) for kind, run in itertools.groupby(words, lambda t: bool(t[2] != "O") if aggregate else t[2])]
+    spans = []
+    for (kind, run), after in itertools.zip_longest(runs, runs[1:]):
+        if kind in (False, "O"):
             continue
-        if label != "O":
-            if open_at is None:
-                open_at, open_label = start, label
-            elif not aggregate and label != open_label:
-                spans.append((open_at, start, open_label))
-                open_at, open_label = start, label
-            last_end = end
-        elif open_at is not None:
-            spans.append((open_at, end if legacy else last_end, open_label))
-            open_at = None
-    if open_at is not None:
-        spans.append((open_at, len(text) if legacy else last_end, open_label))
+        end = run[-1][1]
+        if after is None:
+            end = len(text) if legacy else end
+        elif after[0] not in (False, "O"):
+            end = after[1][0][0]
+        elif legacy:
+            end = after[1][0][1]
+        spans.append((run[0][0], end, run[0][2]))
     return spans
 
 
@@ -53,14 +56,14 @@ def cases():
 
 @pytest.mark.parametrize("aggregate", [False, True])
 @pytest.mark.parametrize("legacy", [False, True])
-def test_merge_and_apply_match_a_fold(spark, aggregate, legacy):
+def test_merge_and_apply_match_the_specification(spark, aggregate, legacy):
     rows = [(i, text, tokens) for i, (text, tokens) in enumerate(cases())]
     df = spark.createDataFrame(rows, f"i int, text string, tokens {redact.TOKENS}")
     df = redact.merge_spans(df, "tokens", F.length("text"), "spans", aggregate, legacy)
     df = redact.apply_spans(df, "text", "spans", "masked", aggregate)
     for r in df.collect():
         _, text, tokens = rows[r["i"]]
-        want = fold(text, tokens, aggregate, legacy)
+        want = spans_of(text, tokens, aggregate, legacy)
         assert [tuple(s) for s in r["spans"]] == want
         assert r["masked"] == masked(text, want, aggregate)
 
@@ -80,7 +83,7 @@ def test_word_masking_equals_span_masking(spark, aggregate, legacy):
         text = TEXTS[r["i"]]
         assert [text[t["start"]:t["end"]] for t in r["tokens"]] == text.split()
         assert r["a"] == r["b"]
-        want = fold(text, [tuple(t) for t in r["tokens"]], aggregate, legacy)
+        want = spans_of(text, [tuple(t) for t in r["tokens"]], aggregate, legacy)
         assert r["a"] == masked(text, want, aggregate)
 
 
@@ -105,3 +108,9 @@ def test_custom_rules(spark):
     df = spark.createDataFrame([("ask Bob Bob today",)], "text string")
     out = redact.mask_words(df, "text", "out", rules={"NAME": "^Bob$"}).first()["out"]
     assert out == "ask [NAME] today"
+
+
+def test_rules_with_at_signs_search_every_word(spark):
+    df = spark.createDataFrame([("tell #secret and @name now",)], "text string")
+    out = redact.mask_words(df, "text", "out", rules={"TAG": "(@|#)[a-z]+"}).first()["out"]
+    assert out == "tell [TAG] and [TAG] now"

@@ -147,9 +147,10 @@ def test_wav_mono_and_stereo(spark, tmp_path):
 def test_images(spark, tmp_path):
     png(tmp_path / "a.png", 30, 20, (255, 0, 0))
     (tmp_path / "broken.png").write_bytes(b"no image")
-    rows = media.read_images(spark, str(tmp_path)).collect()
-    assert [(r["width"], r["height"], r["channels"]) for r in rows] == [(30, 20, 3)]
-    assert bytes(rows[0]["pixels"][:3]) == bytes((0, 0, 255))
+    rows = media.read_images(spark, str(tmp_path)).orderBy("path").collect()
+    assert [(r["width"], r["height"], r["channels"]) for r in rows] == [(30, 20, 3), (None, None, None)]
+    assert bytes(rows[0]["pixels"][:3]) == bytes((0, 0, 255)) and rows[0]["error"] is None
+    assert rows[1]["path"].endswith("broken.png") and rows[1]["pixels"] is None and rows[1]["error"]
 
 
 def test_stream_takes_each_file_once(spark, tmp_path):
@@ -165,3 +166,10 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     out = spark.read.parquet(str(target))
     assert out.count() == 4 and out.select("path").distinct().count() == 4
     assert out.where(F.col("path").endswith("late.bin")).first()["length"] == 4
+
+
+def test_columns_of_nulls_are_synthesised(spark):
+    from quern.sources import synth
+    frame = spark.createDataFrame([(None, None, 1.0)], "a string, b double, c double")
+    rows = synth.synth_table(spark, 3, synth.synth_spec_from(frame)).collect()
+    assert [(r["a"], r["b"], r["c"]) for r in rows] == [(None, None, 1.0)] * 3

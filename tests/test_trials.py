@@ -115,7 +115,7 @@ def test_nested_run_log(spark):
     parent = spark.createDataFrame([("p", None, "search")], "run_id string, parent_id string, run_name string")
     runs, params, metrics = trials.run_log(parent, tried, ["kind", "c"], ["rmse"], "p")
     assert sorted((r["run_id"], r["parent_id"]) for r in runs.collect()) == [("p", None), ("p-0", "p"), ("p-1", "p")]
-    assert sorted(map(tuple, params.collect())) == [("p-0", "c", "0.500000"), ("p-0", "kind", "a"), ("p-1", "kind", "b")]
+    assert sorted(map(tuple, params.collect())) == [("p-0", "c", "0.5"), ("p-0", "kind", "a"), ("p-1", "kind", "b")]
     assert sorted(map(tuple, metrics.collect())) == [("p-0", "rmse", 1.0), ("p-1", "rmse", 2.0)]
 
 
@@ -163,3 +163,24 @@ def test_guided_search_learns(spark):
     early = np.mean([r["loss"] for r in rows if r["trial"] < 8])
     late = np.mean([r["loss"] for r in rows if r["trial"] >= 8])
     assert late < early
+
+
+def test_best_leaves_nan_behind(spark):
+    log = spark.createDataFrame([(1, 0.5), (2, float("nan")), (3, 0.9), (4, None)], "trial int, m double")
+    assert trials.best(log, "m", "max").first()["trial"] == 3 and trials.best(log, "m", "min").first()["trial"] == 1
+
+
+def test_params_read_back(spark):
+    frame = spark.createDataFrame([(1, 1.234e-7, None)], "trial int, lr double, other int")
+    assert [(r["param"], float(r["value"])) for r in trials.params_long(frame, ["trial"], ["lr", "other"]).collect()] == [("lr", 1.234e-7)]
+
+
+def test_last_reports_never_mix_rows(spark):
+    log = spark.createDataFrame([(1, 1, 9, 9), (1, 2, 1, 5), (1, 2, 4, 2)], "trial int, it int, a int, b int")
+    assert tuple(trials.last_reports(log, ["trial"], "it", ["a", "b"]).first()) == (1, 4, 2, 2)
+
+
+def test_steps_stay_within_the_range(spark):
+    from quern.functions import hashing
+    out = spark.range(2000).select(hashing.stepped(hashing.hash_uniform(1, "id", "x"), 0.0, 9.97, 0.5).alias("x"))
+    assert out.agg({"x": "max"}).first()[0] == 9.5
