@@ -24,6 +24,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The checksum is worked out byte by byte from its table of 256 remainders.
+ORACLE["op1_sharding"] = """
+WITH bits AS (SELECT list_transform(range(256), lambda i: list_reduce([i] || [0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+raw AS (SELECT doc_id, source, hex(encode(coalesce(text, ''))) AS h FROM documents),
+bytes AS (SELECT doc_id, source, len(h) // 2 AS n, list_transform(range(0, len(h), 2), lambda i: ('0x' || h[i + 1:i + 2])::BIGINT) AS b FROM raw),
+sums AS (SELECT doc_id, source, n + 16 AS size, xor(4294967295, list_reduce([4294967295] || b,
+    lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8))) AS text_crc32 FROM bytes, bits),
+keyed AS (SELECT *, CASE WHEN source IS NULL THEN '0' ELSE '1' || source END AS s,
+  ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS k FROM sums),
+ranked AS (SELECT *, (row_number() OVER (PARTITION BY s ORDER BY k, doc_id, text_crc32, size) - 0.5::DOUBLE)
+  / count(*) OVER (PARTITION BY s) AS share FROM keyed),
+placed AS (SELECT *, row_number() OVER (ORDER BY share, k, s, doc_id, text_crc32, size) - 1 AS p, count(*) OVER () AS n FROM ranked),
+cut AS (SELECT *, CAST(p * 40 // n AS INTEGER) AS shard FROM placed)
+SELECT doc_id, size, text_crc32, 'rows' AS law, shard, CAST(p - (shard * n + 39) // 40 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM cut"""
+
+
 @query
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(table(spark, sf_dir, "documents"))
@@ -52,6 +70,27 @@ def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.near_edited(table(spark, sf_dir, "documents"))
 
 
+#: All pairs that share an n-gram, in place of the banded candidates.
+ORACLE["op5_jaccard"] = r"""
+WITH RECURSIVE
+split AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) >= 5 THEN
+    list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS grams FROM split),
+keyed AS (SELECT doc_id, md5(array_to_string(grams, chr(10))) AS node, grams FROM sets),
+nodes AS (SELECT node, count(*) AS copies, min(doc_id) AS least, any_value(grams) AS grams FROM keyed GROUP BY node),
+flat AS (SELECT node, len(grams) AS size, unnest(grams) AS gram FROM nodes),
+shared AS (SELECT a.node AS x, b.node AS y, count(*) AS n, any_value(a.size + b.size) AS sizes
+  FROM flat a JOIN flat b ON a.gram = b.gram AND a.node < b.node GROUP BY 1, 2),
+links AS (SELECT x, y FROM shared WHERE n >= 0.8::DOUBLE * (sizes - n) - 1e-9 UNION ALL
+  SELECT y, x FROM shared WHERE n >= 0.8::DOUBLE * (sizes - n) - 1e-9),
+reach(node, other) AS (SELECT node, node FROM nodes UNION SELECT r.node, l.y FROM reach r JOIN links l ON r.other = l.x),
+classes AS (SELECT r.node, min(n.least) AS class_id FROM reach r JOIN nodes n ON r.other = n.node GROUP BY 1),
+counted AS (SELECT l.x AS node, sum(n.copies) AS linked FROM links l JOIN nodes n ON l.y = n.node GROUP BY 1)
+SELECT k.doc_id, c.class_id, CAST(coalesce(l.linked, 0) + n.copies - 1 AS BIGINT) AS n_links
+FROM keyed k JOIN nodes n USING (node) JOIN classes c USING (node) LEFT JOIN counted l USING (node)"""
+
+
 @query
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")

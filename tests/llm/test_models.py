@@ -9,6 +9,7 @@ import pytest
 import corpus_pipeline
 from quern.llm import html_text, jaccard, quality, queries, toxicity
 from tests.llm.conftest import SCHEMA, TEXTS
+from tests.oracle import compare, connect
 
 
 @pytest.mark.parametrize("page, text", [
@@ -151,6 +152,11 @@ def test_pipeline_stages(spark, tiny, tmp_path, monkeypatch):
     assert stored[4][1].groupBy("doc_id").agg({"length": "sum", "doc_tokens": "max"}).where("`sum(length)` != `max(doc_tokens)`").isEmpty()
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_same_rows_as_sql(spark, tiny, name):
+    assert compare(spark, connect(tiny), tiny, name, queries.QUERIES[name], queries.ORACLE[name]) == []
+
+
 def test_queries_of_all_operators():
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
     assert set(queries.ORACLE) <= set(queries.QUERIES)
