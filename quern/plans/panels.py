@@ -154,7 +154,7 @@ def panel_regularize(spark, sf):
         F.round(F.sum("y_filled"), 0).alias("total"))
 
 
-HINGES = [1, 5, 10]
+HINGES = range(1, panel.N_CHANGEPOINTS + 1)
 
 
 @query("trend_basis", f"""
