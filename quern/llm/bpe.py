@@ -121,6 +121,8 @@ class PrefixEncoder:
             last[i], size[i] = token, length
         out, i = [], n
         while i > 0:
+            if last[i] < 0:
+                raise ValueError(f"the vocabulary lacks a character of {word!r}")
             out.append(last[i])
             i -= size[i]
         out.reverse()
@@ -131,7 +133,7 @@ class PrefixEncoder:
         if found is None:
             if len(self.known) >= KEPT:
                 self.known.clear()
-            letters = word if word.isascii() else "".join([self.letters[b] for b in word.encode()])
+            letters = word if word.isascii() and word.isprintable() else "".join([self.letters[b] for b in word.encode()])
             ids = self.word_ids(letters)
             self.known[word] = found = (array("I", ids).tobytes(), " ".join([self.strings[i] for i in ids]).encode())
         return found
