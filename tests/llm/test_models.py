@@ -130,9 +130,8 @@ def test_training_never_sees_held_out_rows(spark, monkeypatch):
     assert len(ids) == 60 and all(zlib.crc32(str(i).encode()) % 3 != 1 for i in ids) and all(i % 2 == y for i, (_, y) in zip(ids, seen))
 
 
-def test_pipeline_stages(spark, tiny, tmp_path, monkeypatch):
+def test_pipeline_stages(spark, tiny, tmp_path):
     """Every stage on the stored rows of the one before; its decisions are those of its operator."""
-    monkeypatch.setattr(toxicity, "ROUNDS", 4)
     docs = spark.read.parquet(f"{tiny}/documents.parquet")
     names = docs.columns
     stored = []
