@@ -115,10 +115,12 @@ def dedup_chunks(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_id"
     """
     ensure_checkpoint_dir(docs.sparkSession)
     rows = keyed(docs, id_col, text_col)
-    found = chunk_digests(rows).select("digest", "doc_id", place_of("mark", "start").alias("place")).checkpoint()
-    often = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
+    found = chunk_digests(rows).select("digest", "doc_id", place_of("mark", "start").alias("place"))
+    # chunks are worked out twice, which is cheaper than storing them all; the narrow sides of the joins are
+    # stored, so that a digest with very many chunks is split in the join
+    often = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest").checkpoint()
     again = found.join(often, "digest").checkpoint()
-    firsts = again.groupBy("digest").agg(F.min(F.struct("doc_id", "place")).alias("first"))
+    firsts = again.groupBy("digest").agg(F.min(F.struct("doc_id", "place")).alias("first")).checkpoint()
     later = again.join(firsts, "digest").where(~(
         F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("place") == F.col("first.place"))))
     spots = (later.select("doc_id", mark_of(F.col("place")).alias("mark"), start_of(F.col("place")).alias("start"))
