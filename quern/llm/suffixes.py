@@ -190,13 +190,15 @@ def dedup_suffixes(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_c
     ensure_checkpoint_dir(docs.sparkSession)
     rows = keyed(docs, id_col, text_col)
     found = runs(rows, length, seed).select(
-        "value", "digest", "doc_id", place_of("mark", "start").alias("place"), F.col("n").cast("int").alias("n")).checkpoint()
-    often = found.groupBy("value").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("value")
+        "value", "digest", "doc_id", place_of("mark", "start").alias("place"), F.col("n").cast("int").alias("n"))
+    # runs are worked out twice, which is cheaper than storing them all; the narrow sides of the joins are
+    # stored, so that a hash with very many runs is split in the join
+    often = found.groupBy("value").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("value").checkpoint()
     again = found.join(often, "value").checkpoint()
     distinct = again.groupBy("value", "digest").agg(
         F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"), F.min(F.struct("doc_id", "place")).alias("rep"))
     distinct = distinct.checkpoint()
-    groups = distinct.groupBy("value").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    groups = distinct.groupBy("value").agg(F.count(F.lit(1)).alias("members")).where("members > 1").checkpoint()
     wanted = distinct.join(groups, "value").select(
         F.col("rep.doc_id").alias("doc_id"), mark_of(F.col("rep.place")).alias("mark"),
         F.struct("value", "digest", start_of(F.col("rep.place")).alias("start"), "n",
@@ -250,7 +252,7 @@ def dedup_suffixes(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_c
     partly = (pieces.repartition("value", "part").sortWithinPartitions("value", "part")
               .mapInArrow(index, "value bigint, digest bigint, a bigint, b bigint"))
     whole = distinct.where("copies > 1").select("value", "digest", F.lit(0).cast("long").alias("a"), F.col("n").cast("long").alias("b"))
-    hits = partly.unionByName(whole).groupBy("value", "digest").agg(F.collect_list(F.struct("a", "b")).alias("hits"))
+    hits = partly.unionByName(whole).groupBy("value", "digest").agg(F.collect_list(F.struct("a", "b")).alias("hits")).checkpoint()
     start = start_of(F.col("place"))
     spots = (again.join(hits, ["value", "digest"])
              .select("doc_id", mark_of(F.col("place")).alias("mark"), start.alias("start"), F.explode("hits").alias("h"))
