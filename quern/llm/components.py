@@ -17,14 +17,14 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """``node, component``: the least node that each node reaches.  Nodes without an edge to another are left out.
 
     Rounds of two steps hang every node's neighbours on the least of them until all that is left are stars.
-    A node with very many edges is only ever aggregated or joined, never gathered.  Rounds grow with the
+    A node with very many edges is only ever aggregated, or split in a join, never gathered.  Rounds grow with the
     logarithm of the longest path; each is checkpointed.
     """
     ensure_checkpoint_dir(edges.sparkSession)
     now = _down(edges.select(F.col(a).alias("a"), F.col(b).alias("b"))).checkpoint()
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")).checkpoint()
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = _down(large.unionByName(least.select("a", F.col("m").alias("b"))))
         small = large.groupBy("a").agg(F.min("b").alias("m"))

@@ -184,7 +184,8 @@ def join_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
     nodes = signed.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min(ids).alias("rep"))
     keys = signed.select("node", F.explode("bands").alias("band")).distinct()
     stars = keys.groupBy("band").agg(F.min("node").alias("center"), F.max("node").alias("other")).where("center != other")
-    edges = keys.join(stars.select("band", "center"), "band").where("node != center").select("node", "center")
+    stars = stars.select("band", "center").checkpoint()  # stored, so that a band hash with very many classes is split
+    edges = keys.join(stars, "band").where("node != center").select("node", "center")
     groups = components(edges, "node", "center").checkpoint()
     sizes = groups.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
 
