@@ -36,9 +36,13 @@ def byte_alphabet() -> list[str]:
 
 
 class PrefixEncoder:
-    """Encodes and decodes as the tokenizer in ``path`` does (special tokens only where the text has them)."""
+    """Encodes and decodes as the tokenizer in ``path`` does (special tokens only where the text has them).
 
-    def __init__(self, path: str):
+    Without ``with_text`` it remembers ids only, which takes half the memory; ``digests`` needs the text.
+    """
+
+    def __init__(self, path: str, with_text: bool = True):
+        self.with_text = with_text
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -135,7 +139,7 @@ class PrefixEncoder:
                 self.known.clear()
             letters = word if word.isascii() and word.isprintable() else "".join([self.letters[b] for b in word.encode()])
             ids = self.word_ids(letters)
-            self.known[word] = found = (array("I", ids).tobytes(), " ".join([self.strings[i] for i in ids]).encode())
+            self.known[word] = found = (array("I", ids).tobytes(), " ".join([self.strings[i] for i in ids]).encode() if self.with_text else b"")
         return found
 
     def plain(self, piece: str) -> list[tuple[bytes, bytes]]:
@@ -163,11 +167,9 @@ class PrefixEncoder:
                     parts += self.plain(part)
         else:
             parts = self.plain(piece)
-        if len(parts) == 1:
-            self.piece_ids[piece], self.piece_text[piece] = parts[0]
-        else:
-            self.piece_ids[piece] = b"".join([p[0] for p in parts])
-            self.piece_text[piece] = b" ".join([p[1] for p in parts])
+        self.piece_ids[piece] = parts[0][0] if len(parts) == 1 else b"".join([p[0] for p in parts])
+        if self.with_text:
+            self.piece_text[piece] = parts[0][1] if len(parts) == 1 else b" ".join([p[1] for p in parts])
 
     def pieces(self, text: str) -> list[str]:
         """The text cut at white space; afterwards every piece is known."""
@@ -199,14 +201,15 @@ class PrefixEncoder:
         return " ".join([self.strings[i] for i in ids])
 
 
-_ENCODERS: dict[str, PrefixEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], PrefixEncoder] = {}
 
 
-def encoder(path: str) -> PrefixEncoder:
-    """One encoder per worker process and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PrefixEncoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, with_text: bool = True) -> PrefixEncoder:
+    """One encoder per worker process, file and kind."""
+    key = (path, with_text)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = PrefixEncoder(path, with_text)
+    return _ENCODERS[key]
 
 
 def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",

@@ -77,7 +77,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, slack: int = SLAC
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        coder, bins = encoder(path), Bins(capacity, slack)
+        coder, bins = encoder(path, with_text=False), Bins(capacity, slack)
         at = TaskContext.get().partitionId() << 40
         rows: list[tuple] = []
 

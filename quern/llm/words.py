@@ -14,7 +14,7 @@ import numpy as np
 SPACES = b" \t\n\x0b\x0c\r"
 SHINGLE = 5
 #: Bytes of text that are worked on at once; a longer text is worked on alone.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
