@@ -5,17 +5,19 @@ its places.  Equal strings have the same least hash among their ``SEED``-byte gr
 runs of neighbouring strings that share that gram, and only runs with the same hash can hold equal strings.
 Equal runs are counted once.  Runs that share a hash with other runs bring their bytes to one task, which
 works on them in batches: each batch gets a suffix array, arrays of equal size are merged geometrically,
-and each merge scan marks the strings that are neighbours and equal.  Hashes with very many runs are split
-by the strings' own hashes, so that equal strings still meet.
+and each merge scan marks the strings that are neighbours and equal.  The strings of hashes with very many
+runs are not brought together: they are counted by 128 bits of their BLAKE2b digests, which stand for their
+bytes, in an aggregation.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.spans import cut_out, keyed, mark_of, place_of, start_of, union
@@ -26,7 +28,7 @@ LENGTH = 200
 SEED = 64
 #: Strings in a new suffix array, and in a block of a merge scan.
 BATCH, BLOCK = 8192, 16384
-#: Runs with one least hash from which they are split.
+#: Runs with one least hash beyond which their strings are counted one by one.
 SPLIT = 16384
 HALF = 0xFFFFFFFF
 
@@ -154,24 +156,17 @@ def runs(rows: DataFrame, length: int, seed: int) -> DataFrame:
     return rows.mapInArrow(run, f"value bigint, digest bigint, doc_id {kind}, mark bigint, start bigint, n bigint")
 
 
-def marked(group: list[tuple[int, int, bytes]], parts: int, length: int = LENGTH) -> list[tuple[int, list[tuple[int, int]]]]:
-    """For runs of one least hash, ``(digest, part, bytes)``: the digest and stretches of repeated strings.
-
-    With several ``parts`` only the strings are looked at whose own hash falls to the runs' part.
-    """
-    text = np.frombuffer(b"".join(g[2] for g in group), np.uint8)
-    ends = np.cumsum([len(g[2]) for g in group])
-    begins = ends - [len(g[2]) for g in group]
+def marked(group: list[tuple[int, bytes]], length: int = LENGTH) -> list[tuple[int, list[tuple[int, int]]]]:
+    """For runs of one least hash, ``(digest, bytes)``: the digest and stretches of repeated strings."""
+    text = np.frombuffer(b"".join(g[1] for g in group), np.uint8)
+    ends = np.cumsum([len(g[1]) for g in group])
+    begins = ends - [len(g[1]) for g in group]
     places = np.concatenate([np.arange(a, b - length + 1) for a, b in zip(begins, ends)])
-    if parts > 1:
-        sums = prefix_sums(text)
-        own = spans(sums, places, places + length) % np.uint64(parts)
-        places = places[own == np.uint64(group[0][1])]
     family = IndexFamily(text, length)
     family.add(places)
     hit = family.finish()
     out = []
-    for (digest, _, data), a in zip(group, begins):
+    for (digest, data), a in zip(group, begins):
         flags = np.concatenate([[0], hit[a:a + len(data) - length + 1].view(np.int8), [0]])
         edges = np.flatnonzero(np.diff(flags))
         if len(edges):
@@ -179,6 +174,48 @@ def marked(group: list[tuple[int, int, bytes]], parts: int, length: int = LENGTH
     return out
 
 
+def strings_of(pieces: DataFrame, length: int) -> DataFrame:
+    """``high, low, value, digest, at``: a row for each string of the runs ``value, digest, bytes``, without its bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 512):
+                part = batch.slice(first, 512)
+                sums, counts = [], []
+                for data in part.column(2).to_pylist():
+                    n = len(data) - length + 1
+                    counts.append(n)
+                    sums += [hashlib.blake2b(data[k:k + length], digest_size=16).digest() for k in range(n)]
+                both = np.frombuffer(b"".join(sums), np.int64).reshape(-1, 2)
+                index = pa.array(np.repeat(np.arange(len(counts)), counts))
+                at = np.concatenate([np.arange(n, dtype=np.int64) for n in counts])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.ascontiguousarray(both[:, 0])), pa.array(np.ascontiguousarray(both[:, 1])),
+                     part.column(0).take(index), part.column(1).take(index), pa.array(at)],
+                    ["high", "low", "value", "digest", "at"])
+
+    return pieces.select("value", "digest", "bytes").mapInArrow(
+        run, "high bigint, low bigint, value bigint, digest bigint, at bigint")
+
+
+def stretches(places: Column) -> Column:
+    """Sorted distinct numbers as an array of ``a, b``: neighbours from ``a`` to ``b - 1``."""
+    edge = lambda step: F.filter(places, lambda x, i: F.coalesce(F.get(places, i + step) != x + step, F.lit(True)))
+    return F.zip_with(edge(-1), edge(1), lambda x, y: F.struct(x.alias("a"), (y + 1).alias("b")))
+
+
+def counted(pieces: DataFrame, length: int) -> DataFrame:
+    """``value, digest, a, b``: stretches of the strings that are in two of the runs ``value, digest, bytes`` or more.
+
+    Strings of one run differ, and the runs differ, so a string that is there twice is repeated.
+    """
+    strings = strings_of(pieces, length)
+    repeated = strings.groupBy("high", "low").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("high", "low").checkpoint()
+    return (strings.join(repeated, ["high", "low"]).groupBy("value", "digest")
+            .agg(stretches(F.sort_array(F.collect_list("at"))).alias("found"))
+            .select("value", "digest", F.inline("found").alias("a", "b")))
+
+
 def dedup_suffixes(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_col: str = "doc_id",
                    text_col: str = "text", split: int = SPLIT) -> DataFrame:
     """``doc_id, row, text, n_bytes, n_removed, n_spans, kept_sha256``: every row without repeated strings.
@@ -202,7 +239,7 @@ def dedup_suffixes(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_c
     wanted = distinct.join(groups, "value").select(
         F.col("rep.doc_id").alias("doc_id"), mark_of(F.col("rep.place")).alias("mark"),
         F.struct("value", "digest", start_of(F.col("rep.place")).alias("start"), "n",
-                 F.ceil(F.col("members") / split).cast("int").alias("parts")).alias("run"))
+                 (F.col("members") > split).alias("hot")).alias("run"))
     lists = wanted.groupBy("doc_id", "mark").agg(F.collect_list("run").alias("runs")) \
         .select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "runs")
 
@@ -213,7 +250,7 @@ def dedup_suffixes(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_c
                 data = text.encode()
                 for r in own:
                     piece = data[r["start"]:r["start"] + r["n"] - 1 + length]
-                    out += [(r["value"], p, r["digest"], r["parts"], piece) for p in range(r["parts"])]
+                    out.append((r["value"], r["digest"], r["hot"], piece))
                 if len(out) > 20_000:
                     yield batch_of(out)
                     out = []
@@ -221,24 +258,24 @@ def dedup_suffixes(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_c
                 yield batch_of(out)
 
     def batch_of(out: list[tuple]) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary())
+        kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
-                                          ["value", "part", "digest", "parts", "bytes"])
+                                          ["value", "digest", "hot", "bytes"])
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, parts, out = None, {}, 1, []  # runs of one least hash follow each other
+        key, held, out = None, {}, []  # runs of one least hash follow each other
         for batch in batches:
-            for value, part, digest, n, data in zip(*(c.to_pylist() for c in batch.columns)):
-                if (value, part) != key:
+            for value, digest, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if value != key:
                     if len(held) > 1:
-                        out += [(key[0], d, s) for d, s in marked(list(held.values()), parts, length)]
-                    key, held, parts = (value, part), {}, n
+                        out += [(key, d, s) for d, s in marked(list(held.values()), length)]
+                    key, held = value, {}
                     if len(out) > 20_000:
                         yield spans_of(out)
                         out = []
-                held[digest] = (digest, part, data)
+                held[digest] = (digest, data)
         if len(held) > 1:
-            out += [(key[0], d, s) for d, s in marked(list(held.values()), parts, length)]
+            out += [(key, d, s) for d, s in marked(list(held.values()), length)]
         if out:
             yield spans_of(out)
 
@@ -248,9 +285,13 @@ def dedup_suffixes(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_c
 
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))
     pieces = rows.join(lists, same).select("text", "runs").mapInArrow(
-        fetch, "value bigint, part int, digest bigint, parts int, bytes binary")
-    partly = (pieces.repartition("value", "part").sortWithinPartitions("value", "part")
+        fetch, "value bigint, digest bigint, hot boolean, bytes binary")
+    hot = not groups.where(F.col("members") > split).isEmpty()
+    pieces = pieces.checkpoint() if hot else pieces  # read three times
+    partly = (pieces.where("not hot").select("value", "digest", "bytes").repartition("value").sortWithinPartitions("value")
               .mapInArrow(index, "value bigint, digest bigint, a bigint, b bigint"))
+    if hot:
+        partly = partly.unionByName(counted(pieces.where("hot"), length))
     whole = distinct.where("copies > 1").select("value", "digest", F.lit(0).cast("long").alias("a"), F.col("n").cast("long").alias("b"))
     hits = partly.unionByName(whole).groupBy("value", "digest").agg(F.collect_list(F.struct("a", "b")).alias("hits")).checkpoint()
     start = start_of(F.col("place"))

@@ -142,6 +142,32 @@ def test_suffixes_split_groups(spark):
         assert digest(suffixes.dedup_suffixes(frame, split=split).collect()) == sorted(brute_strings(texts))
 
 
+def edges_of_a_passage(n):
+    """Documents that share a passage and nothing around it; the strings over its edges share grams inside."""
+    draw = np.random.default_rng(n)
+    own = lambda k: bytes(draw.integers(97, 123, k).tolist()).decode()
+    common = own(230)
+    return [own(150) + common + own(150) for _ in range(n)]
+
+
+def test_suffixes_hot_gram_grows_with_its_runs(spark):
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def shuffled():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        return store.executorSummary("driver").totalShuffleWrite()
+
+    grown = []
+    for n in (300, 600):
+        texts = edges_of_a_passage(n)
+        frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        before = shuffled()
+        rows = suffixes.dedup_suffixes(frame, split=4).collect()
+        assert digest(rows) == sorted(brute_strings(texts)) and all(r.n_removed >= 230 for r in rows)
+        grown.append(shuffled() - before)
+    assert grown[1] < 2.5 * grown[0]
+
+
 def test_index_family_merges():
     draw = np.random.default_rng(4)
     text = np.frombuffer(bytes(draw.integers(97, 99, 3000).tolist()), np.uint8)
