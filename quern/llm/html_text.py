@@ -18,15 +18,31 @@ from pyspark.sql import DataFrame
 
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|iframe|svg|math|object|select|textarea|canvas|head)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|noscript|template|iframe|svg|object|select|textarea|canvas)(?=[\s/>])"
+    r"(?P<rest>(?:[^'\">]|\"[^\"]*\"|'[^']*')*(?<=/)|[^>]*)>"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^'\">]|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
 HINT = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 WORD_IN_HINT = re.compile(r"[a-z]+")
 
+#: Elements whose content is code, and ends with the page at the latest; other raw elements without an end tag end
+#: where a block begins or ends.
+CODE = {"script", "style"}
+BREAK = (r"(?=</?(?:address|article|aside|blockquote|body|center|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|header|hr|html|li|main|nav|ol|"
+         r"p|pre|section|table|td|th|tr|ul)[\s/>])")
+RAW_END = {n: re.compile(rf"</{n}\s*>", re.I) for n in ("script", "style", "noscript", "template", "iframe", "object", "select",
+                                                       "textarea", "canvas", "title")}
+SVG_END = re.compile(rf"<foreignobject[\s/>].*?</foreignobject\s*>|</svg\s*>|{BREAK}", re.S | re.I)
+BLOCK_EDGE = re.compile(BREAK, re.I)
+#: What a head may hold; any other tag ends it.
+HEAD_TAGS = {"head", "title", "meta", "link", "base", "basefont", "bgsound", "noframes"}
+
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i",
           "img", "ins", "kbd", "label", "mark", "nobr", "q", "s", "samp", "small", "span", "strike", "strong", "sub",
-          "sup", "time", "tt", "u", "var", "wbr"}
+          "sup", "time", "tt", "u", "var", "wbr",
+          "math", "mi", "mo", "mn", "ms", "mtext", "mrow", "mfrac", "msqrt", "mroot", "mstyle", "merror", "mpadded", "mphantom",
+          "mspace", "mfenced", "menclose", "msub", "msup", "msubsup", "munder", "mover", "munderover", "mmultiscripts",
+          "mprescripts", "none", "mtable", "mtr", "mlabeledtr", "mtd", "maction", "semantics", "annotation", "annotation-xml"}
 CONTAINERS = {"article", "aside", "blockquote", "body", "dialog", "div", "fieldset", "footer", "form", "header", "main",
               "menu", "nav", "ol", "section", "table", "ul"}
 MAIN_TAGS = {"article", "main"}
@@ -54,6 +70,21 @@ class Block:
         return " ".join("".join(self.parts).split())
 
 
+def raw_end(page: str, name: str, at: int, endless: set[str]) -> int:
+    """Where the raw element ends whose content begins at ``at``; ``endless`` are names without further end tags."""
+    if name == "svg":
+        for m in SVG_END.finditer(page, at):
+            if m.group()[:2].lower() != "<f":
+                return m.end()
+        return len(page)
+    end = None if name in endless else RAW_END[name].search(page, at)
+    if end:
+        return end.end()
+    endless.add(name)
+    edge = None if name in CODE else BLOCK_EDGE.search(page, at)
+    return edge.start() if edge else len(page)
+
+
 def blocks(page: str | None) -> list[Block]:
     """The text blocks of a page in order, without scripts, styles, comments and empty blocks."""
     out: list[Block] = []
@@ -81,14 +112,30 @@ def blocks(page: str | None) -> list[Block]:
 
     at = 0
     page = page or ""
-    for m in TOKEN.finditer(page):
+    endless: set[str] = set()
+    head = False
+    while m := TOKEN.search(page, at):
         if m.start() > at:
-            text(page[at:m.start()])
+            head = head and page[at:m.start()].isspace()
+            if not head:
+                text(page[at:m.start()])
         at = m.end()
+        if m["raw"]:
+            name = m["raw"].lower()
+            head = head and name not in ("iframe", "svg", "object", "select", "textarea", "canvas")
+            if name in CODE or not m["rest"].endswith("/"):
+                at = raw_end(page, name, at, endless)
+            continue
         name = m["name"]
         if name is None:
             continue
         name, closing = name.lower(), bool(m["close"])
+        if name == "head":
+            head = not closing
+        elif head and not closing:
+            head = name in HEAD_TAGS
+            if name == "title":
+                at = raw_end(page, name, at, endless)
         if name in INLINE:
             if name == "a":
                 anchor = not closing

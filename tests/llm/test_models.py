@@ -24,6 +24,19 @@ def test_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<head><title>t</title><body><article><p>a</article>", "a"), ("<head><title>t <b>u</b></title><article><p>a</article>", "a"),
+    ("<head><script>'<div>'</script><style>p{}</style><title>t</title></head><body><article>a</article>", "a"),
+    ("<article><p>a <svg class='x>y' /> b</p><p>c</p></article><svg><text>no</text></svg>", "a b\nc"),
+    ("<article><p>a <svg><text>no</text> <p>b</p></article>", "a\nb"), ("<article><p>a<svg><foreignObject><p>no</p></foreignObject></svg>b</p>", "ab"),
+    ("<article><p>if <math><mi>x</mi><mo>=</mo><mn>1</mn></math> then</p><math/><p>b</article>", "if x=1 then\nb"),
+    ("<article><p>a<object data=x /></p><p>b</p></article>", "a\nb"), ("<article><p>a<select><option>no<p>b</p></article>", "a\nb"),
+    ("<article><p>a<script>no <p>no", "a"),
+])
+def test_pages_with_open_raw_elements(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_tree_learns_its_table():
     x, y = html_text.labelled_table()
     assert len(y) < 200 and (html_text.tree().predict(x).round() == y).all()
