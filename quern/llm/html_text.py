@@ -22,7 +22,7 @@ TOKEN = re.compile(
     r"(?P<rest>(?:[^'\">]|\"[^\"]*\"|'[^']*')*(?<=/)|[^>]*)>"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^'\">]|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
-HINT = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+HINT = re.compile(r"\b(class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 WORD_IN_HINT = re.compile(r"[a-z]+")
 
 #: Elements whose content is code, and ends with the page at the latest; other raw elements without an end tag end
@@ -54,6 +54,17 @@ SIDE_HINTS = {"ad", "ads", "advert", "advertisement", "banner", "breadcrumb", "b
               "promo", "related", "replies", "respond", "search", "share", "sharing", "sidebar", "signup", "social",
               "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
 MAIN_HINTS = {"article", "content", "entry", "main", "post", "story", "text"}
+#: A name is that of a side part if its last word is such a word, or all others are of these (``comment-list``), but not
+#: if it says what a layout has or has not (``has-sidebar``).
+FILLERS = MAIN_HINTS | {
+    "area", "articles", "bar", "block", "body", "bottom", "box", "button", "buttons", "column", "container", "group", "icons", "inner",
+    "item", "items", "left", "links", "list", "module", "outer", "page", "panel", "posts", "region", "right", "row", "section", "site",
+    "slot", "sticky", "stories", "this", "thread", "top", "unit", "wrap", "wrapper"}
+EXCEPTIONS = {"has", "have", "hide", "hidden", "is", "no", "not", "with", "without"}
+#: Words that make a header one of the article.
+ARTICLE_WORDS = {"article", "content", "entry", "post", "story"}
+#: Side tags that an article inside of them cannot be the main text of.
+STRICT_SIDE = SIDE_TAGS - {"form", "fieldset"}
 
 FEATURES = ("in_side", "in_main", "main_on_page", "in_main_hint", "link_density", "words", "link_density_before",
             "words_before", "link_density_after", "words_after", "is_heading", "in_list")
@@ -70,6 +81,22 @@ class Block:
         return " ".join("".join(self.parts).split())
 
 
+def names_side(attributes: str, inside: bool) -> bool:
+    """Whether class, id or role name a side part; ``inside`` of a main part a header is the article's own."""
+    for kind, *values in HINT.findall(attributes):
+        value = "".join(values).lower()
+        for name in [value] if kind.lower() == "aria-label" else value.split():
+            words = WORD_IN_HINT.findall(name)
+            found = SIDE_HINTS.intersection(words)
+            if not found or EXCEPTIONS.intersection(words):
+                continue
+            if words[-1] not in found and any(w not in found and w not in FILLERS and len(w) > 1 for w in words):
+                continue
+            if found != {"header"} or not (inside or ARTICLE_WORDS.intersection(words)):
+                return True
+    return False
+
+
 def raw_end(page: str, name: str, at: int, endless: set[str]) -> int:
     """Where the raw element ends whose content begins at ``at``; ``endless`` are names without further end tags."""
     if name == "svg":
@@ -88,7 +115,9 @@ def raw_end(page: str, name: str, at: int, endless: set[str]) -> int:
 def blocks(page: str | None) -> list[Block]:
     """The text blocks of a page in order, without scripts, styles, comments and empty blocks."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # container, main, side, main by hint
+    # container, main, side, main by hint, what it frees from side containers around it: 1 if there is no other main text, 2 always
+    stack: list[tuple[str, bool, bool, bool, int]] = []
+    freed: list[bool] = []  # per block: whether it is no side block if there is no other main text
     held: list[str] = []
     words = linked = 0
     anchor, leaf = False, ""
@@ -97,7 +126,14 @@ def blocks(page: str | None) -> list[Block]:
         nonlocal held, words, linked
         if words:
             main = any(s[1] for s in stack)
-            side = any(s[2] for s in stack)
+            side = held_side = strict = False  # held_side: where articles free their blocks
+            for s in stack:
+                if s[4] == 2:
+                    side = held_side = strict = False
+                elif s[4] == 1:
+                    held_side = strict
+                side, held_side, strict = side or s[2], held_side or s[2], strict or (s[2] and s[0] in STRICT_SIDE)
+            freed.append(side and not held_side)
             out.append(Block(held, words, linked, (side, main, any(s[3] for s in stack), leaf[:1] == "h" and leaf != "header",
                                                    any(s[0] in ("ul", "ol") for s in stack))))
         held, words, linked = [], 0, 0
@@ -153,14 +189,21 @@ def blocks(page: str | None) -> list[Block]:
                     del stack[k:]
                     break
         elif not m["attributes"].endswith("/"):
-            hints = {w for h in HINT.findall(m["attributes"]) for w in WORD_IN_HINT.findall("".join(h).lower())}
+            found = HINT.findall(m["attributes"])
+            hints = {w for h in found for w in WORD_IN_HINT.findall("".join(h[1:]).lower())}
             inside = any(s[1] for s in stack)
+            named = names_side(m["attributes"], inside)
+            marked = name == "main" or any(h[0].lower() == "role" and "main" in "".join(h[1:]).lower().split() for h in found)
             side = name in SIDE_TAGS or (name == "header" and not inside) or (
-                name not in ("body", "article", "main") and bool(hints & SIDE_HINTS))
-            stack.append((name, name in MAIN_TAGS or "main" in hints, side, bool(hints & MAIN_HINTS)))
+                name not in ("body", "article") and not marked and named)
+            stack.append((name, name in MAIN_TAGS or "main" in hints, side, bool(hints & MAIN_HINTS),
+                          2 if marked else 1 if name == "article" and not named else 0))
     if at < len(page):
         text(page[at:])
     flush()
+    if not any(b.flags[1] and not b.flags[0] for b in out):
+        for b, free in zip(out, freed):
+            b.flags = (b.flags[0] and not free, *b.flags[1:])
     return out
 
 
@@ -209,6 +252,11 @@ LABELLED = (
     "<div class=header>-welcome</div><article><p>+only one paragraph stands here</p></article><div class=related><p>-read this as "
     "well it is about the same thing and has a long text for a teaser</p></div><aside><p>-weather today is fine with some sun and "
     "little wind from the west all day long</p></aside><p>-all rights reserved</p>",
+    "<div class='layout has-sidebar'><nav><a>-start</a></nav><article><div class=article-header><h1>+a text beside a sidebar</h1></div><p>+its "
+    "first paragraph has as many words as others</p><section id=related-work><p>+what others wrote about it before</p></section>"
+    "</article><div class=sidebar><article><p>-a teaser of something else that is longer than the paragraphs of the text</p></article></div></div>",
+    "<div class=sticky-header><p>-the name of the site</p><main><p>+the text stands inside of a header that sticks</p></main></div>",
+    "<div class=search><article><p>+the only article of the page</p><div class=comments><p>-a comment below it</p></div></article></div>",
 )
 
 

@@ -37,6 +37,21 @@ def test_pages_with_open_raw_elements(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<div class='layout has-sidebar'><article><p>a</p></article><div class=sidebar><p>no</p></div></div>", "a"),
+    ("<body><div id='page' class='with-sidebar'><article><p>a</article></div>", "a"),
+    ("<div class='sticky-header'><p>no</p><main><p>a</p></main></div>", "a"), ("<div class=widget><div role='main'><p>a</div></div>", "a"),
+    ("<article><p>a</p><section id='related-work'><p>b</p></section></article>", "a\nb"),
+    ("<article><div class='article-header'><h1>a</h1></div><p>b</article>", "a\nb"),
+    ("<form id=f><div class='search'><article><p>a</article></div></form>", "a"),
+    ("<article><p>a</p></article><div class='related-posts'><article><p>no</p></article></div>", "a"),
+    ("<article><p>a</p><ol class='comment-list'><li><article class=comment-body><p>no</p></article></ol></article>", "a"),
+    ("<aside><article><p>no</p></article></aside><main><p>a</main>", "a"),
+])
+def test_pages_with_names_of_side_parts(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_tree_learns_its_table():
     x, y = html_text.labelled_table()
     assert len(y) < 200 and (html_text.tree().predict(x).round() == y).all()
