@@ -42,6 +42,26 @@ def test_hot_source_is_spread(spark):
     assert out.exceptAll(again).isEmpty()
 
 
+def test_rows_of_one_id_are_spread(spark, monkeypatch):
+    frame = spark.range(6000).select(
+        F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("t"), F.greatest(F.col("id"), F.lit(2000))).alias("text"),
+        F.lit("s").alias("source"))
+    keys = []
+
+    class Recorder(sharding.Window):
+        @staticmethod
+        def partitionBy(*cols):
+            keys.append(cols)
+            return sharding.Window.__mro__[1].partitionBy(*cols)
+
+    monkeypatch.setattr(sharding, "Window", Recorder)
+    rows = sharding.shard(frame, shards=7).collect()
+    expected = sorted((zlib.crc32(r.text.encode()), len(r.text) + 16) for r in frame.collect())
+    assert [g[2:] for g in sorted((r.shard, r.slot, r.text_crc32, r.size) for r in rows)] == expected
+    assert ("_source", "_key", "doc_id", "_cell") in keys  # the rows' own window
+    assert max(collections.Counter(c >> sharding.CELL_SHIFT for c, _ in set(expected)).values()) < 20
+
+
 def test_shard_odd_rows(odd, none):
     rows = sharding.shard(odd, shards=3).collect()
     assert len(rows) == len(TEXTS) and sum(r.doc_id is None for r in rows) == 2
