@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, chunking, fingerprint, html_text, jaccard, packing, quality, sharding, suffixes, toxicity
+from quern.llm import (bpe, chunking, fingerprint, html_text, jaccard, packing, phrases, quality, sharding, suffixes, toxicity, urls,
+                       whitening)
 
 TOKENIZER = "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +117,67 @@ def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors)
+    error = whitening.identity_error(vectors, model)
+    shares = F.array(*[F.lit(float(v / model.trace)) for v in model.values]).cast("array<double>")
+    found = whitening.whiten(vectors, model).select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    return found.select("vec_id", (F.col("place") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+                        shares[F.col("place")].alias("explained"), F.lit(error).alias("identity_error"))
+
+
+ORACLE["op12_phrases"] = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-
+]')) AS piece FROM documents),
+split AS (SELECT lang, row_number() OVER () AS piece_id, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM split GROUP BY lang),
+words AS (SELECT lang, piece_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM split WHERE len(w) > 0),
+runs AS (SELECT lang, word, lead(word) OVER (PARTITION BY piece_id ORDER BY pos) AS word2,
+  lead(word, 2) OVER (PARTITION BY piece_id ORDER BY pos) AS word3 FROM words),
+grams AS (SELECT lang, 1 AS k, word AS phrase FROM runs UNION ALL
+  SELECT lang, 2, word || ' ' || word2 FROM runs WHERE word2 IS NOT NULL UNION ALL
+  SELECT lang, 3, word || ' ' || word2 || ' ' || word3 FROM runs WHERE word3 IS NOT NULL),
+counts AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 10),
+cands AS MATERIALIZED (SELECT lang, k AS words, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k >= 2),
+parts AS MATERIALIZED (SELECT lang, words, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+  FROM cands, (SELECT 1 AS k UNION ALL SELECT 2) cut_at WHERE k < words),
+cuts AS (SELECT p.lang, p.words, p.phrase, p.a, p.k, x.f AS l, y.f AS r, (1000000::HUGEINT * p.a * p.a) // (x.f::HUGEINT * y.f) AS score
+  FROM parts p JOIN counts x ON x.lang = p.lang AND x.phrase = p.head JOIN counts y ON y.lang = p.lang AND y.phrase = p.tail),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (SELECT lang, phrase, max(a) AS top FROM (SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase
+  FROM cands WHERE words = 3) GROUP BY ALL),
+ranked AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+  FROM best b LEFT JOIN longer g ON b.words = 2 AND g.lang = b.lang AND g.phrase = b.phrase WHERE g.top IS NULL OR 100 * g.top < 50 * a)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
+@query
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.top_phrases(table(spark, sf_dir, "documents"))
+
+
+#: Verdict, host and path of the entries.
+URL_ENTRIES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"),
+               ("block", "net", "/fr/")]
+
+ORACLE["op13_urls"] = r"""
+WITH parts AS (SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+entries(verdict, h, p) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+  ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+judged AS (SELECT *, (SELECT arg_max({'rule': h || p, 'verdict': verdict}, length(h || p)) FROM entries
+  WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS best FROM parts)
+SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict FROM judged"""
+
+
+@query
+def op13_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = spark.createDataFrame(URL_ENTRIES, "verdict string, host string, path string")
+    return urls.judge(table(spark, sf_dir, "pages"), entries).select("page_id", "host", "path", "rule", "verdict")
