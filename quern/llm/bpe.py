@@ -1,7 +1,7 @@
 """Exact byte-pair encoding by dynamic programming over prefixes, and decoding.
 
-For every prefix of a word there is exactly one last token.  A suffix automaton over the vocabulary (its
-links report every token that ends at a place) gives the candidates; a candidate is the last token if the
+For every prefix of a word there is exactly one last token.  An Aho-Corasick automaton over the vocabulary, whose
+suffix links report every token that ends at a place, gives the candidates; a candidate is the last token if the
 token before it, which the shorter prefix has stored, may stand next to it.  Following the stored tokens
 back from the end of the word gives the ids.  No merge queue is run.
 
@@ -22,8 +22,10 @@ import ahocorasick
 import regex
 from pyspark.sql import DataFrame
 
-#: Pieces, and words, that a worker remembers; it bounds memory, never the result.
-KEPT = 800_000
+#: Pieces, words and pair tests that a worker remembers, and the letters of the longest of them; both bound memory (to
+#: some 60 MB), never the result.
+KEPT = 200_000
+KEPT_LETTERS = 64
 END = "\n"  # stands for the word end in the automaton; the byte alphabet has no control characters
 SEPARATORS = re.compile(r"[\x1c-\x1f]")  # white space for str.split, but not for the tokenizer
 
@@ -68,6 +70,7 @@ class PrefixEncoder:
         self.automaton.make_automaton()
         self.edges: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
         self.fits: dict[int, bool] = {}
+        self.long: list[str] = []
         self.piece_ids: dict[str, bytes] = {}
         self.piece_text: dict[str, bytes] = {}
         self.known: dict[str, tuple[bytes, bytes]] = {}
@@ -107,8 +110,9 @@ class PrefixEncoder:
     def word_ids(self, word: str) -> list[int]:
         """Ids of one pre-token, given in the byte alphabet."""
         n = len(word)
-        last: list[int] = [-1] * (n + 1)  # the last token of each prefix
-        size = [0] * (n + 1)
+        last, size = [-1] * (n + 1), [0] * (n + 1)  # the last token of each prefix
+        if n > 1 << 16:
+            last, size = array("i", last), array("i", size)
         fits, compatible = self.fits, self.compatible
         for end, (token, length, ends) in self.automaton.iter(word + END if self.suffix else word):
             i = end if ends else end + 1
@@ -139,7 +143,9 @@ class PrefixEncoder:
                 self.known.clear()
             letters = word if word.isascii() and word.isprintable() else "".join([self.letters[b] for b in word.encode()])
             ids = self.word_ids(letters)
-            self.known[word] = found = (array("I", ids).tobytes(), " ".join([self.strings[i] for i in ids]).encode() if self.with_text else b"")
+            found = (array("I", ids).tobytes(), " ".join([self.strings[i] for i in ids]).encode() if self.with_text else b"")
+            if len(word) <= KEPT_LETTERS:
+                self.known[word] = found
         return found
 
     def plain(self, piece: str) -> list[tuple[bytes, bytes]]:
@@ -173,6 +179,9 @@ class PrefixEncoder:
 
     def pieces(self, text: str) -> list[str]:
         """The text cut at white space; afterwards every piece is known."""
+        for p in self.long:
+            del self.piece_ids[p]
+            self.piece_text.pop(p, None)
         cut = text.split() if not SEPARATORS.search(text) else [p for p in regex.split(r"\s+", text) if p]
         missing = set(cut).difference(self.piece_ids)
         if len(self.piece_ids) + len(missing) > KEPT:
@@ -181,6 +190,8 @@ class PrefixEncoder:
             missing = set(cut)
         for p in missing:
             self.add_piece(p)
+        # long pieces are forgotten with the next text
+        self.long = [p for p in missing if len(p) > KEPT_LETTERS]
         return cut
 
     def ids_bytes(self, text: str | None) -> bytes:

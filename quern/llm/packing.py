@@ -10,7 +10,7 @@ closed in sequences whose length is a power of two, which need no padding.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 
@@ -23,10 +23,13 @@ SLACK = 16
 
 
 class Bins:
-    """The open bins of one worker; closed ones come out as lists of pieces ``(document, start, length)``."""
+    """The open bins of one worker; closed ones come out as lists of pieces ``(document, start, length)``.
 
-    def __init__(self, capacity: int = CAPACITY, slack: int = SLACK):
-        self.capacity, self.slack = capacity, slack
+    ``keep(document, start, length)`` is what a piece that waits remembers of its document, by default all of it.
+    """
+
+    def __init__(self, capacity: int = CAPACITY, slack: int = SLACK, keep: Callable = lambda doc, start, length: doc):
+        self.capacity, self.slack, self.keep = capacity, slack, keep
         self.open: dict[int, list[tuple]] = {}
 
     def add(self, piece: tuple) -> Iterator[list[tuple]]:
@@ -38,7 +41,7 @@ class Bins:
                 size = 1 << size.bit_length() - 1
                 held = self.capacity // size
             waiting = self.open.setdefault(held, [])
-            waiting.append((doc, start, size))
+            waiting.append((self.keep(doc, start, size), start, size))
             if len(waiting) == held:
                 yield self.open.pop(held)
             start, length = start + size, length - size
@@ -77,16 +80,18 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, slack: int = SLAC
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        coder, bins = encoder(path, with_text=False), Bins(capacity, slack)
+        # a document is its id, ids from some token on, that token, and how many it has in all
+        own = lambda doc, start, length: (doc[0], doc[1][4 * start:4 * (start + length)], start, doc[3])
+        coder, bins = encoder(path, with_text=False), Bins(capacity, slack, own)
         at = TaskContext.get().partitionId() << 40
         rows: list[tuple] = []
 
         def put(sequence: list[tuple]) -> None:
             nonlocal at
             offset = 0
-            for (doc, ids), start, length in sequence:
-                part = ids[4 * start:4 * (start + length)]
-                row = (doc, start, length, zlib.crc32(part), len(ids) // 4, at, offset)
+            for (doc, ids, first, tokens), start, length in sequence:
+                part = ids[4 * (start - first):4 * (start - first + length)]
+                row = (doc, start, length, zlib.crc32(part), tokens, at, offset)
                 rows.append(row + (memoryview(part).cast("I").tolist(),) if with_ids else row)
                 offset += length
             at += 1
@@ -101,7 +106,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, slack: int = SLAC
                 schema = pa.schema(fields + [("ids", pa.list_(pa.int32()))] * with_ids)
             for doc, text in zip(batch.column(0), batch.column(1)):
                 ids = coder.ids_bytes(text.as_py()) + end
-                for sequence in bins.add(((doc.as_py(), ids), 0, len(ids) // 4)):
+                for sequence in bins.add(((doc.as_py(), ids, 0, len(ids) // 4), 0, len(ids) // 4)):
                     put(sequence)
                 if len(rows) >= 10_000:
                     yield batch_of(rows)
