@@ -35,7 +35,7 @@ from quern.session import ensure_checkpoint_dir
 
 LEAST, COVER, TOP = 10, 50, 2000
 #: Bytes of text that are counted at once.  Words of more than two bytes and their spaces keep numbers below 2 ** 21.
-SLICE = 7 << 20
+SLICE = 6 << 20
 #: Bytes of text for which there is a hash partition, at least.
 PART_BYTES = 128 << 20
 #: The bits of the broadcast table, as a power of two, at most.
@@ -46,6 +46,7 @@ BREAKS = b".,;:!?\n\x0b\x0c\r"
 _BREAK = b"."
 _TABLE = bytes(ord(".") if c in BREAKS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 _MASK = np.int64((1 << ID_BITS) - 1)
+_GAP = np.zeros(2, np.int64)
 
 
 class _Numbers(dict):
@@ -73,30 +74,33 @@ def _slices(text: bytes, size: int) -> Iterator[bytes]:
     yield text[start:]
 
 
-def count_slice(words: _Numbers, tokens: list[bytes], carried: list[bytes]) -> tuple[int, list[tuple[np.ndarray, np.ndarray]]]:
-    """Words in ``tokens``, and per length the phrases that end there as packed numbers, with their counts."""
-    ids = np.fromiter(map(words.__getitem__, carried + tokens), np.int64, len(carried) + len(tokens))
-    if len(words) > 1 << ID_BITS:
-        raise ValueError("a slice has too many different words")
+def count_slice(ids: np.ndarray) -> tuple[int, list[tuple[np.ndarray, np.ndarray]]]:
+    """Words behind the first two, and per length the phrases that end there as packed numbers, with their counts."""
+    last, before, first = ids[2:], ids[1:-1], ids[:-2]
     out = []
-    last = ids[2:]
-    for packed, whole in ((last, last > 0),
-                          (ids[1:-1] << ID_BITS | last, (last > 0) & (ids[1:-1] > 0)),
-                          (ids[:-2] << 2 * ID_BITS | ids[1:-1] << ID_BITS | last, (last > 0) & (ids[1:-1] > 0) & (ids[:-2] > 0))):
+    whole = last > 0
+    packed = last
+    for length, other in ((1, None), (2, before), (3, first)):
+        if other is not None:
+            whole = whole & (other > 0)
+            packed = other << (length - 1) * ID_BITS | packed
         out.append(np.unique(packed[whole], return_counts=True))
     return int(np.count_nonzero(last)), out
 
 
-def counted(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str, list[bytes], int, list[tuple[np.ndarray, np.ndarray]]]]:
-    """Language, words by number, number of words, and phrases with counts, for stretches of texts of one language."""
-    waiting: dict[str, list[bytes]] = {}
+def counted(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[tuple[str, list[bytes], int, list[tuple[np.ndarray, np.ndarray]]]]]:
+    """For stretches of texts: language, words by number, number of words, and phrases with counts of each language."""
+    waiting: dict[str, tuple[_Numbers, list[np.ndarray]]] = {}
     held = 0
 
-    def count(lang: str, texts: list[bytes], carried: list[bytes]):
-        words = _Numbers()
-        tokens = b" . ".join(texts).replace(b".", b" . ").split()
-        total, found = count_slice(words, tokens, carried)
-        return (lang, list(words), total, found), (carried + tokens)[-2:]
+    def numbers(words: _Numbers, text: bytes) -> np.ndarray:
+        tokens = text.replace(b".", b" . ").split()
+        return np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens))
+
+    def count(lang: str, words: _Numbers, ids: list[np.ndarray]):
+        if len(words) > 1 << ID_BITS:
+            raise ValueError("a slice has too many different words")
+        return (lang, list(words), *count_slice(np.concatenate(ids)))
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -104,17 +108,22 @@ def counted(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str,
             if len(data) > size:
                 carried = [_BREAK, _BREAK]
                 for part in _slices(data, size):
-                    out, carried = count(lang, [part], carried)
-                    yield out
+                    words = _Numbers()
+                    ids = [np.array([words[w] for w in carried], np.int64), numbers(words, part)]
+                    names = list(words)
+                    carried = [names[k] for k in np.concatenate(ids)[-2:]]
+                    yield [count(lang, words, ids)]
                 continue
             if held + len(data) > size:
-                for name, texts in waiting.items():
-                    yield count(name, texts, [_BREAK, _BREAK])[0]
+                yield [count(name, *rest) for name, rest in waiting.items()]
                 waiting, held = {}, 0
-            waiting.setdefault(lang, []).append(data)
+            if lang not in waiting:
+                waiting[lang] = _Numbers(), [_GAP]
+            words, ids = waiting[lang]
+            ids += [numbers(words, data), _GAP[:1]]
             held += len(data) + 1
-    for name, texts in waiting.items():
-        yield count(name, texts, [_BREAK, _BREAK])[0]
+    if waiting:
+        yield [count(name, *rest) for name, rest in waiting.items()]
 
 
 def _seed(data: bytes) -> int:
@@ -142,8 +151,8 @@ def _packed(h: np.ndarray) -> bytes:
     return np.ascontiguousarray(h).view(np.uint8).reshape(-1, 8)[:, :HASH_BITS // 8].tobytes()
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // (HASH_BITS // 8), 8), np.uint8)
+def _unpacked(data: pa.Buffer) -> np.ndarray:
+    out = np.zeros((data.size // (HASH_BITS // 8), 8), np.uint8)
     out[:, :HASH_BITS // 8] = np.frombuffer(data, np.uint8).reshape(-1, HASH_BITS // 8)
     return out.view(np.uint64).ravel()
 
@@ -195,20 +204,19 @@ def survivors(texts: DataFrame, least: int, parts: int, bits: int, size: int = S
     edges = _edges(parts)
 
     def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, words, _, found in counted(batches, size):
-            h = np.concatenate(hashes(lang, words, found))
-            c = np.concatenate([counts for _, counts in found])
+        for stretch in counted(batches, size):
+            h = np.concatenate([h for lang, words, _, found in stretch for h in hashes(lang, words, found)])
+            c = np.concatenate([counts for *_, found in stretch for _, counts in found])
             order = np.argsort(h)
             h, c = h[order], c[order]
             at = np.searchsorted(h, edges)
             rows = [(p, at[p], at[p + 1]) for p in np.flatnonzero(np.diff(at)).tolist()]
-            part = [p for p, _, _ in rows]
-            none = pa.nulls(len(rows), pa.binary())
+            part = pa.array([p for p, _, _ in rows], pa.int32())
             mass = pa.array([int(c[a:b].sum()) for _, a, b in rows], pa.int64())
-            names = ["part", "mass", "keys", "counts"]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), mass, none, none], names)
+            names, none = ["part", "mass", "keys", "counts"], pa.nulls(len(rows), pa.binary())
+            yield pa.RecordBatch.from_arrays([part, mass, none, none], names)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.int32()), pa.nulls(len(rows), pa.int64()), pa.array([_packed(h[a:b]) for _, a, b in rows], pa.binary()),
+                [part, pa.nulls(len(rows), pa.int64()), pa.array([_packed(h[a:b]) for _, a, b in rows], pa.binary()),
                  pa.array([c[a:b].astype(np.uint32).tobytes() for _, a, b in rows], pa.binary())], names)
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +232,7 @@ def survivors(texts: DataFrame, least: int, parts: int, bits: int, size: int = S
             return pa.RecordBatch.from_pydict({"first": pa.array([first], pa.int64()), "bits": pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())})
 
         for batch in batches:
-            for part, weight, keys, counts in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            for part, weight, keys, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
                 if part != now:
                     if summary is not None:
                         yield slices()
@@ -234,11 +242,11 @@ def survivors(texts: DataFrame, least: int, parts: int, bits: int, size: int = S
                     continue
                 if summary is None:
                     summary = Summary(mass // least + 1)
-                summary.add(_unpacked(keys), np.frombuffer(counts, np.uint32).astype(np.int64))
+                summary.add(_unpacked(keys.as_buffer()), np.frombuffer(counts.as_buffer(), np.uint32).astype(np.int64))
         if summary is not None:
             yield slices()
 
-    found = (texts.mapInArrow(summaries, "part int, mass long, keys binary, counts binary").repartition(parts, "part")
+    found = (texts.mapInArrow(summaries, "part int, mass long, keys binary, counts binary").repartitionById(parts, "part")
              .sortWithinPartitions("part", F.col("mass").isNull()).mapInArrow(merged, "first long, bits binary"))
     table = np.zeros((1 << bits) // 8, np.uint8)
     for row in found.collect():  # the table's bytes once, whatever the input
@@ -259,21 +267,22 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, text_col: str = "text", l
     bits = min(filter_bits, max(16, math.ceil(math.log2(volume + 1))))
     table = docs.sparkSession.sparkContext.broadcast(survivors(texts, least, parts, bits, size))
 
+    def rows(lang: str, found: list[bytes], length: int, counts) -> pa.RecordBatch:
+        n = len(found)
+        return pa.RecordBatch.from_arrays([pa.array([lang], pa.string()).take(pa.array(np.zeros(n, int))), pa.array(found, pa.binary()).cast(pa.string()),
+                                           pa.array(np.full(n, length), pa.int32()), pa.array(counts, pa.int64())], ["lang", "phrase", "length", "f"])
+
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = np.frombuffer(table.value, np.uint8)
-        for lang, words, total, found in counted(batches, size):
-            phrases, lengths, counts = [b""], [0], [total]
+        for lang, words, total, found in (x for stretch in counted(batches, size) for x in stretch):
+            yield rows(lang, [b""], 0, [total])
             for length, (h, (packed, many)) in enumerate(zip(hashes(lang, words, found), found), 1):
                 place = (h >> np.uint64(HASH_BITS - bits)).astype(np.int64)
                 kept = np.flatnonzero(flags[place >> 3] >> (place & 7).astype(np.uint8) & 1)
-                packed = packed[kept]
-                numbers = [(packed >> k * ID_BITS & _MASK).tolist() for k in range(length - 1, -1, -1)]
-                phrases += [b" ".join([words[n] for n in row]) for row in zip(*numbers)]
-                lengths += [length] * len(kept)
-                counts += many[kept].tolist()
-            text = pa.array(phrases, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(phrases), pa.string()), text, pa.array(lengths, pa.int32()), pa.array(counts, pa.int64())],
-                                             ["lang", "phrase", "length", "f"])
+                for k in range(0, len(kept), 1 << 16):
+                    some = kept[k:k + (1 << 16)]
+                    numbers = [(packed[some] >> j * ID_BITS & _MASK).tolist() for j in range(length - 1, -1, -1)]
+                    yield rows(lang, [b" ".join([words[n] for n in row]) for row in zip(*numbers)], length, many[some])
 
     each = texts.mapInArrow(exact, "lang string, phrase string, length int, f long")
     return each.groupBy("lang", "phrase", "length").agg(F.sum("f").alias("f")).where((F.col("f") >= least) | (F.col("length") == 0))
