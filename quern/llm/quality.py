@@ -112,9 +112,10 @@ def score(docs: DataFrame, ratios: list[float], threshold: float = THRESHOLD, fe
     base = measures(docs, id_col, text_col).withColumn("_grams", grams_of(F.col("words"), features)).drop("words")
     total = F.aggregate("_grams", F.lit(0.0), lambda a, g: a + F.get(table, g))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
-    return (base.withColumn("llr", total / F.greatest(F.size("_grams"), F.lit(1))).drop("_grams")
-            .withColumn("base_failed", failed)
-            .withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold)))
+    judged = base.withColumns({"llr": total / F.greatest(F.size("_grams"), F.lit(1)), "base_failed": failed}).drop("_grams")
+    # the columns of a generator are worked out once; a filter on others would be moved below and hold them all again
+    once = judged.select(F.inline(F.array(F.struct(*judged.columns))))
+    return once.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
 
 
 def quality_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, features: int = FEATURES,
@@ -133,6 +134,4 @@ def keep_good(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD,
               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
     ratios = ratio_table(gram_counts(docs, trusted, features, id_col=id_col, text_col=text_col), features)
-    # the row number keeps the filter above the projections, which would be worked out again inside of it
-    judged = score(docs, ratios, threshold, features, id_col, text_col).withColumn("_at", F.monotonically_increasing_id())
-    return judged.where("kept and _at >= 0").select("row.*")
+    return score(docs, ratios, threshold, features, id_col, text_col).where("kept").select("row.*")

@@ -142,3 +142,14 @@ def test_native_plans_run_no_python(spark, tiny):
     for name in ("op1_sharding", "op8_quality"):
         plan = queries.QUERIES[name](spark, tiny)._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_filter_on_the_verdict_is_no_copy_of_it(spark, tiny):
+    docs = spark.read.parquet(f"{tiny}/documents.parquet")
+    trusted = spark.read.parquet(f"{tiny}/labels.parquet").where("quality = 1")
+    judged = quality.quality_rules(docs, trusted)
+    size = lambda frame: len(frame._jdf.queryExecution().optimizedPlan().toString())
+    for condition in ("kept", "base_failed", "not base_failed and llr < 0"):
+        assert size(judged.where(condition)) < 1.1 * size(judged) + 1000
+    kept = {r.doc_id for r in judged.where("kept").select("doc_id").collect()}
+    assert kept == {r.doc_id for r in judged.collect() if r.kept}
