@@ -7,21 +7,23 @@ that is grown on the small labelled pages below says which blocks are main text.
 
 from __future__ import annotations
 
+import bisect
 import html
+import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|iframe|svg|object|select|textarea|canvas)(?=[\s/>])"
-    r"(?P<rest>(?:[^'\">]|\"[^\"]*\"|'[^']*')*(?<=/)|[^>]*)>"
-    r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^'\">]|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+RAW = {"script", "style", "noscript", "template", "iframe", "svg", "object", "select", "textarea", "canvas"}
+NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+QUOTED = re.compile(r"(?:[^'\">]|\"[^\"]*\"|'[^']*')*>")
+COMMENT_END = re.compile(r"--!?>")
 HINT = re.compile(r"\b(class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 WORD_IN_HINT = re.compile(r"[a-z]+")
 
@@ -32,7 +34,8 @@ BREAK = (r"(?=</?(?:address|article|aside|blockquote|body|center|dd|div|dl|dt|fi
          r"p|pre|section|table|td|th|tr|ul)[\s/>])")
 RAW_END = {n: re.compile(rf"</{n}\s*>", re.I) for n in ("script", "style", "noscript", "template", "iframe", "object", "select",
                                                        "textarea", "canvas", "title")}
-SVG_END = re.compile(rf"<foreignobject[\s/>].*?</foreignobject\s*>|</svg\s*>|{BREAK}", re.S | re.I)
+SVG_STEP = re.compile(rf"(?P<foreign><foreignobject[\s/>])|</svg\s*>|{BREAK}", re.I)
+FOREIGN_END = re.compile(r"</foreignobject\s*>", re.I)
 BLOCK_EDGE = re.compile(BREAK, re.I)
 #: What a head may hold; any other tag ends it.
 HEAD_TAGS = {"head", "title", "meta", "link", "base", "basefont", "bgsound", "noframes"}
@@ -49,8 +52,8 @@ MAIN_TAGS = {"article", "main"}
 SIDE_TAGS = {"nav", "aside", "footer", "form", "dialog", "fieldset", "menu", "button"}
 #: Words of class, id and role that name what is not the article.
 SIDE_HINTS = {"ad", "ads", "advert", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent",
-              "contentinfo", "cookie", "cookies", "copyright", "disqus", "footer", "form", "header", "login", "masthead",
-              "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "pager", "pagination", "popup",
+              "contentinfo", "cookie", "cookies", "copyright", "disqus", "footer", "form", "gdpr", "header", "login", "masthead",
+              "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "overlay", "pager", "pagination", "popup",
               "promo", "related", "replies", "respond", "search", "share", "sharing", "sidebar", "signup", "social",
               "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
 MAIN_HINTS = {"article", "content", "entry", "main", "post", "story", "text"}
@@ -97,12 +100,89 @@ def names_side(attributes: str, inside: bool) -> bool:
     return False
 
 
+class Tags:
+    """Tags and comments of a page in order, in time that grows with its length, whatever is left open in it.
+
+    A tag ends at the first ``>`` outside of quotes.  Where there is none, the ``<`` is text.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = page.rfind(">")
+        self.name_end = 0  # up to here no name ends: a name may hold further ``<``
+        self.ends: dict[int, int] | None = None
+        self.specials: list[int] = []
+
+    def end(self, at: int) -> int:
+        """Behind the ``>`` that ends a tag whose attributes begin at ``at``, or -1."""
+        if self.ends is None:
+            found = QUOTED.match(self.page, at)
+            if found:
+                return found.end()
+            self._all_ends()  # an open quote: work out all ends once instead of once per tag
+        k = bisect.bisect_left(self.specials, at)
+        return self.ends[k]
+
+    def _all_ends(self) -> None:
+        """For each quote and ``>`` where a tag ends that goes on in front of it."""
+        self.specials = [m.start() for m in re.finditer("[\"'>]", self.page)]
+        n = len(self.specials)
+        self.ends = {n: -1}
+        following = {"'": n, '"': n}  # the next such quote
+        for k in range(n - 1, -1, -1):
+            c = self.page[self.specials[k]]
+            if c == ">":
+                self.ends[k] = self.specials[k] + 1
+            else:
+                self.ends[k] = self.ends[following[c] + 1] if following[c] < n else -1
+                following[c] = k
+
+    def next(self, at: int) -> tuple[int, int, str, bool, int] | None:
+        """Start, end, name (empty for comments), whether it closes, and where the attributes begin, of the next tag."""
+        page = self.page
+        while (i := page.find("<", at)) >= 0:
+            at = i + 1
+            if page.startswith("<!--", i):
+                found = COMMENT_END.search(page, i + 4)
+                return i, found.end() if found else len(page), "", False, i
+            if page[at:at + 1] in ("!", "?"):
+                end = page.find(">", at)
+                return i, end + 1 if end >= 0 else len(page), "", False, i
+            if i > self.last:
+                continue
+            closing = page[at:at + 1] == "/"
+            first = at + closing
+            if not (page[first:first + 1].isascii() and page[first:first + 1].isalpha()):
+                continue
+            if first >= self.name_end:
+                self.name_end = NAME.match(page, i).end()
+            begin = self.name_end
+            if begin - first > 100:  # no name that means anything
+                end = self.end(begin)
+                if end >= 0:
+                    return i, end, "x-long", closing, begin
+                continue
+            name = page[first:begin].lower()
+            end = self.end(begin)
+            if name in RAW and not closing and not (end >= 0 and page[end - 2] == "/"):
+                end = page.find(">", begin) + 1 or -1
+            if end >= 0:
+                return i, end, name, closing, begin
+        return None
+
+
 def raw_end(page: str, name: str, at: int, endless: set[str]) -> int:
     """Where the raw element ends whose content begins at ``at``; ``endless`` are names without further end tags."""
     if name == "svg":
-        for m in SVG_END.finditer(page, at):
-            if m.group()[:2].lower() != "<f":
+        while m := SVG_STEP.search(page, at):
+            if not m["foreign"]:
                 return m.end()
+            at = m.end()
+            end = None if "foreignobject" in endless else FOREIGN_END.search(page, at)
+            if end:
+                at = end.end()
+            else:
+                endless.add("foreignobject")
         return len(page)
     end = None if name in endless else RAW_END[name].search(page, at)
     if end:
@@ -112,11 +192,29 @@ def raw_end(page: str, name: str, at: int, endless: set[str]) -> int:
     return edge.start() if edge else len(page)
 
 
+class Place(NamedTuple):
+    """An open container, and what holds for a block inside of it and of all that it stands in."""
+
+    name: str = ""
+    main: bool = False
+    side: bool = False
+    held_side: bool = False  # a side part that an article inside of it does not free
+    strict: bool = False
+    hint: bool = False
+    listed: bool = False
+
+    def open(self, name: str, main: bool, side: bool, hint: bool, frees: int) -> "Place":
+        """``frees``: 2 takes back all side parts around, 1 all but strict ones if the page has no other main text."""
+        before = (False, False, False) if frees == 2 else (self.side, self.strict if frees else self.held_side, self.strict)
+        return Place(name, self.main or main, before[0] or side, before[1] or side, before[2] or (side and name in STRICT_SIDE),
+                     self.hint or hint, self.listed or name in ("ul", "ol"))
+
+
 def blocks(page: str | None) -> list[Block]:
     """The text blocks of a page in order, without scripts, styles, comments and empty blocks."""
     out: list[Block] = []
-    # container, main, side, main by hint, what it frees from side containers around it: 1 if there is no other main text, 2 always
-    stack: list[tuple[str, bool, bool, bool, int]] = []
+    stack = [Place()]
+    opened: Counter[str] = Counter()
     freed: list[bool] = []  # per block: whether it is no side block if there is no other main text
     held: list[str] = []
     words = linked = 0
@@ -125,17 +223,9 @@ def blocks(page: str | None) -> list[Block]:
     def flush() -> None:
         nonlocal held, words, linked
         if words:
-            main = any(s[1] for s in stack)
-            side = held_side = strict = False  # held_side: where articles free their blocks
-            for s in stack:
-                if s[4] == 2:
-                    side = held_side = strict = False
-                elif s[4] == 1:
-                    held_side = strict
-                side, held_side, strict = side or s[2], held_side or s[2], strict or (s[2] and s[0] in STRICT_SIDE)
-            freed.append(side and not held_side)
-            out.append(Block(held, words, linked, (side, main, any(s[3] for s in stack), leaf[:1] == "h" and leaf != "header",
-                                                   any(s[0] in ("ul", "ol") for s in stack))))
+            top = stack[-1]
+            freed.append(top.side and not top.held_side)
+            out.append(Block(held, words, linked, (top.side, top.main, top.hint, leaf[:1] == "h" and leaf != "header", top.listed)))
         held, words, linked = [], 0, 0
 
     def text(piece: str) -> None:
@@ -148,24 +238,23 @@ def blocks(page: str | None) -> list[Block]:
 
     at = 0
     page = page or ""
+    tags = Tags(page)
     endless: set[str] = set()
     head = False
-    while m := TOKEN.search(page, at):
-        if m.start() > at:
-            head = head and page[at:m.start()].isspace()
+    while tag := tags.next(at):
+        start, end, name, closing, begin = tag
+        if start > at:
+            head = head and page[at:start].isspace()
             if not head:
-                text(page[at:m.start()])
-        at = m.end()
-        if m["raw"]:
-            name = m["raw"].lower()
+                text(page[at:start])
+        at = end
+        if name in RAW and not closing:
             head = head and name not in ("iframe", "svg", "object", "select", "textarea", "canvas")
-            if name in CODE or not m["rest"].endswith("/"):
+            if name in CODE or page[end - 2] != "/":
                 at = raw_end(page, name, at, endless)
             continue
-        name = m["name"]
-        if name is None:
+        if not name:
             continue
-        name, closing = name.lower(), bool(m["close"])
         if name == "head":
             head = not closing
         elif head and not closing:
@@ -183,21 +272,24 @@ def blocks(page: str | None) -> list[Block]:
         leaf = "" if closing else name
         if name not in CONTAINERS:
             continue
+        attributes = page[begin:end - 1]
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
+            while opened[name]:
+                last = stack.pop().name
+                opened[last] -= 1
+                if last == name:
                     break
-        elif not m["attributes"].endswith("/"):
-            found = HINT.findall(m["attributes"])
+        elif not attributes.endswith("/"):
+            found = HINT.findall(attributes)
             hints = {w for h in found for w in WORD_IN_HINT.findall("".join(h[1:]).lower())}
-            inside = any(s[1] for s in stack)
-            named = names_side(m["attributes"], inside)
+            inside = stack[-1].main
+            named = names_side(attributes, inside)
             marked = name == "main" or any(h[0].lower() == "role" and "main" in "".join(h[1:]).lower().split() for h in found)
             side = name in SIDE_TAGS or (name == "header" and not inside) or (
                 name not in ("body", "article") and not marked and named)
-            stack.append((name, name in MAIN_TAGS or "main" in hints, side, bool(hints & MAIN_HINTS),
-                          2 if marked else 1 if name == "article" and not named else 0))
+            stack.append(stack[-1].open(name, name in MAIN_TAGS or "main" in hints, side, bool(hints & MAIN_HINTS),
+                                        2 if marked else 1 if name == "article" and not named else 0))
+            opened[name] += 1
     if at < len(page):
         text(page[at:])
     flush()
@@ -260,10 +352,59 @@ LABELLED = (
 )
 
 
+#: Further labelled pages, made by ``plain_page``, in which nothing names the surroundings of the text.
+PLAIN_PAGES, PLAIN_SEED = 150, 7
+
+
+def plain_page(draw: random.Random) -> str:
+    """A labelled page of divs and paragraphs, sometimes with the text marked: link lists and short lines around it.
+
+    Menus are short and linked, teasers linked lines of some length, notices short lines next to them; the text is a
+    heading and paragraphs, a few of which are short or mostly linked.
+    """
+    def words(low: int, high: int) -> str:
+        return " ".join("word" for _ in range(draw.randint(low, high)))
+
+    def link(text: str) -> str:
+        return f"<a href=x>{text}</a>"
+
+    def line(mark: str, inner: str) -> str:
+        tag = draw.choice(["div", "p"])
+        return f"<{tag}>{mark}{inner}</{tag}>"
+
+    def around() -> list[str]:
+        kinds = [lambda: link(words(1, 3)), lambda: " ".join(link(words(1, 2)) for _ in range(draw.randint(2, 8))), lambda: link(words(4, 12)),
+                 lambda: words(1, 5), lambda: words(1, 2) + " " + link(words(1, 6)), lambda: words(2, 8) + " " + link(words(2, 5))]
+        return [line("-", draw.choice(kinds)()) for _ in range(draw.randint(1, 7))]
+
+    text = [f"<h1>+{words(3, 10)}</h1>", line("+", words(18, 60))]
+    for _ in range(draw.randint(1, 8)):
+        kind = draw.random()
+        text.append(line("+", words(16, 70) if kind < 0.75 else words(10, 30) + " " + link(words(1, 5)) + " " + words(4, 20) if kind < 0.9 else words(3, 9)))
+    text.append(line("+", words(18, 60)))
+    before, after = (around() if draw.random() < 0.8 else [] for _ in range(2))
+    if draw.random() < 0.4:  # a marked text may hold links and short lines, and what is outside of it may be long
+        before.append(line("-", words(12, 50)))
+        after[:0] = [line("-", words(12, 50))] * draw.randint(0, 1)
+        for _ in range(6):
+            more = [line("+", words(1, 9)), line("+", link(words(1, 9))), f"<ul><li>+{words(1, 3)}</li></ul>", f"<aside>{line('-', words(1, 50))}</aside>",
+                    f"<aside>{line('-', link(words(1, 20)))}</aside>"]
+            text.insert(draw.randint(0, len(text)), draw.choice(more))
+        tag = draw.choice(["article", "main"])
+        text = [f"<{tag}>", *text, line("+", words(1, 60)) if draw.random() < 0.5 else "", f"</{tag}>"]
+    inner = "".join(text)
+    return "".join(before) + (f"<div>{inner}</div>" if draw.random() < 0.5 else inner) + "".join(after)
+
+
+def labelled_pages() -> list[str]:
+    draw = random.Random(PLAIN_SEED)
+    return [*LABELLED, *(plain_page(draw) for _ in range(PLAIN_PAGES))]
+
+
 def labelled_table() -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels (1: main text) of the blocks of ``LABELLED``."""
+    """Features and labels (1: main text) of the blocks of the labelled pages."""
     rows, labels = [], []
-    for page in LABELLED:
+    for page in labelled_pages():
         found = blocks(page)
         rows.append(features(found))
         labels += [int(b.text[0] == "+") for b in found]
@@ -273,7 +414,7 @@ def labelled_table() -> tuple[np.ndarray, np.ndarray]:
 class Tree:
     """A decision tree on numbers: splits that lower the Gini impurity most, until leaves are pure."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 6):
+    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 10):
         self.value = float(y.mean())
         self.split: tuple[int, float, Tree, Tree] | None = None
         best = None
