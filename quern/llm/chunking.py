@@ -3,7 +3,8 @@
 A gear hash rolls over the bytes of a text.  A chunk ends before a word at which some bits of the hash are
 zero, so chunks after an insertion are the same as before it.  Chunks are compared by digest; of equal
 chunks the first (by document id, then place) stays.  Only runs of repeated chunks of some length are cut,
-so that a common phrase stays everywhere.
+so that a common phrase stays everywhere.  Digests have 64 bits and stand for the bytes; a chunk that is taken
+for another by chance is cut only if its neighbours in the run are, too, or if it has ``MIN_RUN`` bytes itself.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.spans import cut_out, keyed, mark_of, place_of, start_of
+from quern.llm.spans import cut_out, keyed
 from quern.llm.words import SPACES, chunks
 from quern.session import ensure_checkpoint_dir
 
@@ -115,16 +116,15 @@ def dedup_chunks(docs: DataFrame, min_run: int = MIN_RUN, id_col: str = "doc_id"
     """
     ensure_checkpoint_dir(docs.sparkSession)
     rows = keyed(docs, id_col, text_col)
-    found = chunk_digests(rows).select("digest", "doc_id", place_of("mark", "start").alias("place"))
+    found = chunk_digests(rows)
     # chunks are worked out twice, which is cheaper than storing them all; the narrow sides of the joins are
     # stored, so that a digest with very many chunks is split in the join
     often = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest").checkpoint()
     again = found.join(often, "digest").checkpoint()
-    firsts = again.groupBy("digest").agg(F.min(F.struct("doc_id", "place")).alias("first")).checkpoint()
+    firsts = again.groupBy("digest").agg(F.min(F.struct("doc_id", "mark", "start")).alias("first")).checkpoint()
     later = again.join(firsts, "digest").where(~(
-        F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("place") == F.col("first.place"))))
-    spots = (later.select("doc_id", mark_of(F.col("place")).alias("mark"), start_of(F.col("place")).alias("start"))
-             .groupBy("doc_id", "mark").agg(F.collect_set("start").alias("spots")))
+        F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark")) & (F.col("start") == F.col("first.start"))))
+    spots = later.groupBy("doc_id", "mark").agg(F.collect_set("start").alias("spots"))
     return cut_out(rows, spots, lambda data, starts: repeated_runs(data, starts, min_run), "array<bigint>")
 
 

@@ -6,36 +6,18 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-START_BITS = 32
-
-
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, mark, text, row``: ``mark`` (32 bits of the text's hash) tells rows with one id apart.
+    """``doc_id, mark, text, row``: ``mark`` (64 bits of the text's hash) tells rows with one id apart.
 
     A null text is empty.  ``row`` has the other columns.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rest = [docs[c] for c in docs.columns if c not in (id_col, text_col)] or [F.lit(None).cast("int").alias("none")]
-    return docs.select(F.col(id_col).alias("doc_id"), F.shiftrightunsigned(F.xxhash64(text), 32).cast("long").alias("mark"),
-                       text.alias("text"), F.struct(*rest).alias("row"))
-
-
-def place_of(mark: Column | str, start: Column | str) -> Column:
-    """``mark`` and a byte offset in one number."""
-    return F.shiftleft(F.col(mark) if isinstance(mark, str) else mark, START_BITS).bitwiseOR(
-        (F.col(start) if isinstance(start, str) else start).cast("long"))
-
-
-def mark_of(place: Column) -> Column:
-    return F.shiftrightunsigned(place, START_BITS)
-
-
-def start_of(place: Column) -> Column:
-    return place.bitwiseAND(F.lit((1 << START_BITS) - 1))
+    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text"), F.struct(*rest).alias("row"))
 
 
 def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -3,7 +3,8 @@
 A string of ``LENGTH`` bytes that starts at two places is repeated; every byte it covers is removed, at all
 its places.  Equal strings have the same least hash among their ``SEED``-byte grams, so a text is cut into
 runs of neighbouring strings that share that gram, and only runs with the same hash can hold equal strings.
-Equal runs are counted once.  Runs that share a hash with other runs bring their bytes to one task, which
+Equal runs are counted once; runs are equal if the hash of their gram and a digest of theirs, 128 bits together,
+are.  Runs that share a hash with other runs bring their bytes to one task, which
 works on them in batches: each batch gets a suffix array, arrays of equal size are merged geometrically,
 and each merge scan marks the strings that are neighbours and equal.  The strings of hashes with very many
 runs are not brought together: they are counted by 128 bits of their BLAKE2b digests, which stand for their
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.spans import cut_out, keyed, mark_of, place_of, start_of, union
+from quern.llm.spans import cut_out, keyed, union
 from quern.llm.words import chunks, prefix_sums, spans
 from quern.session import ensure_checkpoint_dir
 
@@ -30,6 +31,8 @@ SEED = 64
 BATCH, BLOCK = 8192, 16384
 #: Runs with one least hash beyond which their strings are counted one by one.
 SPLIT = 16384
+#: Bits of a number that hold how many strings a run has; the bits above hold where it starts.
+RUN_BITS = 20
 HALF = 0xFFFFFFFF
 
 
@@ -226,19 +229,21 @@ def dedup_suffixes(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_c
     """
     ensure_checkpoint_dir(docs.sparkSession)
     rows = keyed(docs, id_col, text_col)
+    # where a run starts and how many strings it has in one number, which is one column less to move
     found = runs(rows, length, seed).select(
-        "value", "digest", "doc_id", place_of("mark", "start").alias("place"), F.col("n").cast("int").alias("n"))
+        "value", "digest", "doc_id", "mark", (F.shiftleft("start", RUN_BITS) + F.col("n")).alias("at"))
+    start, many = F.shiftright("at", RUN_BITS), F.col("at").bitwiseAND(F.lit((1 << RUN_BITS) - 1))
     # runs are worked out twice, which is cheaper than storing them all; the narrow sides of the joins are
     # stored, so that a hash with very many runs is split in the join
     often = found.groupBy("value").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("value").checkpoint()
     again = found.join(often, "value").checkpoint()
     distinct = again.groupBy("value", "digest").agg(
-        F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"), F.min(F.struct("doc_id", "place")).alias("rep"))
+        F.count(F.lit(1)).alias("copies"), F.max(many).alias("n"), F.min(F.struct("doc_id", "mark", "at")).alias("rep"))
     distinct = distinct.checkpoint()
     groups = distinct.groupBy("value").agg(F.count(F.lit(1)).alias("members")).where("members > 1").checkpoint()
     wanted = distinct.join(groups, "value").select(
-        F.col("rep.doc_id").alias("doc_id"), mark_of(F.col("rep.place")).alias("mark"),
-        F.struct("value", "digest", start_of(F.col("rep.place")).alias("start"), "n",
+        F.col("rep.doc_id").alias("doc_id"), F.col("rep.mark").alias("mark"),
+        F.struct("value", "digest", F.shiftright("rep.at", RUN_BITS).alias("start"), "n",
                  (F.col("members") > split).alias("hot")).alias("run"))
     lists = wanted.groupBy("doc_id", "mark").agg(F.collect_list("run").alias("runs")) \
         .select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "runs")
@@ -294,9 +299,8 @@ def dedup_suffixes(docs: DataFrame, length: int = LENGTH, seed: int = SEED, id_c
         partly = partly.unionByName(counted(pieces.where("hot"), length))
     whole = distinct.where("copies > 1").select("value", "digest", F.lit(0).cast("long").alias("a"), F.col("n").cast("long").alias("b"))
     hits = partly.unionByName(whole).groupBy("value", "digest").agg(F.collect_list(F.struct("a", "b")).alias("hits")).checkpoint()
-    start = start_of(F.col("place"))
     spots = (again.join(hits, ["value", "digest"])
-             .select("doc_id", mark_of(F.col("place")).alias("mark"), start.alias("start"), F.explode("hits").alias("h"))
+             .select("doc_id", "mark", start.alias("start"), F.explode("hits").alias("h"))
              .select("doc_id", "mark", F.struct((F.col("start") + F.col("h.a")).alias("a"),
                                                 (F.col("start") + F.col("h.b") - 1 + length).alias("b")).alias("spot"))
              .groupBy("doc_id", "mark").agg(F.collect_set("spot").alias("spots")))

@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from quern.llm import chunking, jaccard, queries, suffixes
@@ -241,3 +242,23 @@ def test_chunks_odd_rows(odd, none):
     assert rows[1][0].text == TEXTS[0][1] and rows[2][0].text == "" and rows[2][0].n_chars == 0
     assert [r.text for r in rows[13]] == ["same row"] * 2 and rows[5][0].text == "" and rows[9][0].lang == "en"
     assert chunking.dedup_chunks(none).count() == 0
+
+
+def test_rows_of_one_id_with_like_hashes(spark):
+    """Two texts without an id whose hashes share 32 bits lose what two documents with ids of their own would lose."""
+    passage = " ".join(f"passage{k}" for k in range(60))
+    seen, pair = {}, None
+    for k in range(600_000):
+        text = f"first {k} " * 3 + passage if k % 2 else passage + f" last {k}" * 9
+        high = xxhash.xxh64_intdigest(text.encode(), 42) >> 32
+        if high in seen and seen[high][1] % 2 != k % 2:
+            pair = [seen[high][0], text]
+            break
+        seen.setdefault(high, (text, k))
+    assert pair is not None
+    for find in (suffixes.dedup_suffixes, chunking.dedup_chunks):
+        kept = []
+        for ids in ([None, None], [1, 2]):
+            docs = spark.createDataFrame(list(zip(ids, pair)), "doc_id long, text string")
+            kept.append(sorted(r.n_removed for r in find(docs).collect()))
+        assert kept[0] == kept[1] and kept[0][1] > 0
