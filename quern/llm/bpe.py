@@ -22,9 +22,9 @@ import ahocorasick
 import regex
 from pyspark.sql import DataFrame
 
-#: Pieces, words and pair tests that a worker remembers, and the letters of the longest of them; both bound memory (to
-#: some 60 MB), never the result.
-KEPT = 200_000
+#: Pieces, words and pair tests that a worker remembers, and the letters of the longest of them; both bound memory (some
+#: 160 MB), never the result.
+KEPT = 800_000
 KEPT_LETTERS = 64
 END = "\n"  # stands for the word end in the automaton; the byte alphabet has no control characters
 SEPARATORS = re.compile(r"[\x1c-\x1f]")  # white space for str.split, but not for the tokenizer
@@ -43,8 +43,8 @@ class PrefixEncoder:
     Without ``with_text`` it remembers ids only, which takes half the memory; ``digests`` needs the text.
     """
 
-    def __init__(self, path: str, with_text: bool = True):
-        self.with_text = with_text
+    def __init__(self, path: str, with_text: bool = True, kept: int = KEPT):
+        self.with_text, self.kept = with_text, kept
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -102,7 +102,7 @@ class PrefixEncoder:
                     at = rank.get((x, y))
                     if at is not None and since < at < until and start < at <= stop:
                         known = False
-            if len(self.fits) > KEPT:
+            if len(self.fits) > self.kept:
                 self.fits.clear()
             self.fits[key] = known
         return known
@@ -139,7 +139,7 @@ class PrefixEncoder:
     def word(self, word: str) -> tuple[bytes, bytes]:
         found = self.known.get(word)
         if found is None:
-            if len(self.known) >= KEPT:
+            if len(self.known) >= self.kept:
                 self.known.clear()
             letters = word if word.isascii() and word.isprintable() else "".join([self.letters[b] for b in word.encode()])
             ids = self.word_ids(letters)
@@ -184,7 +184,7 @@ class PrefixEncoder:
             self.piece_text.pop(p, None)
         cut = text.split() if not SEPARATORS.search(text) else [p for p in regex.split(r"\s+", text) if p]
         missing = set(cut).difference(self.piece_ids)
-        if len(self.piece_ids) + len(missing) > KEPT:
+        if len(self.piece_ids) + len(missing) > self.kept:
             self.piece_ids.clear()
             self.piece_text.clear()
             missing = set(cut)
@@ -212,14 +212,14 @@ class PrefixEncoder:
         return " ".join([self.strings[i] for i in ids])
 
 
-_ENCODERS: dict[tuple[str, bool], PrefixEncoder] = {}
+_ENCODERS: dict[tuple[str, bool, int], PrefixEncoder] = {}
 
 
-def encoder(path: str, with_text: bool = True) -> PrefixEncoder:
-    """One encoder per worker process, file and kind."""
-    key = (path, with_text)
+def encoder(path: str, with_text: bool = True, kept: int = KEPT) -> PrefixEncoder:
+    """One encoder per worker process, file, kind and memory."""
+    key = (path, with_text, kept)
     if key not in _ENCODERS:
-        _ENCODERS[key] = PrefixEncoder(path, with_text)
+        _ENCODERS[key] = PrefixEncoder(path, with_text, kept)
     return _ENCODERS[key]
 
 
