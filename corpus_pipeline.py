@@ -35,7 +35,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, public_tokenizers.path(TOKENIZER))
+    # workers of the stages before hold memory, too
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER), kept=200_000)
 
 
 STAGES = [("toxicity", drop_toxic), ("quality", drop_poor), ("near_copies", drop_near_copies),
