@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -60,30 +61,62 @@ def normalize_array(df: DataFrame, name: str, mean: float, std: float, out: str)
     return df.withColumn(out, columns.normalize_array(name, mean, std))
 
 
-def _bilinear(image: np.ndarray, width: int, height: int) -> np.ndarray:
-    """Resize rows x columns x channels with half-pixel centres."""
-    def axis(old: int, new: int):
-        at = np.clip((np.arange(new) + 0.5) * old / new - 0.5, 0, old - 1)
-        low = np.floor(at).astype(int)
-        return low, np.minimum(low + 1, old - 1), at - low
+def _cubic(x: np.ndarray) -> np.ndarray:
+    """Cubic convolution kernel with a = -0.5; 0 beyond a distance of 2."""
+    x = np.abs(x)
+    near = (1.5 * x - 2.5) * x * x + 1
+    far = ((-0.5 * x + 2.5) * x - 4) * x + 2
+    return np.where(x < 1, near, np.where(x < 2, far, 0.0))
 
-    y0, y1, fy = axis(image.shape[0], height)
-    x0, x1, fx = axis(image.shape[1], width)
-    fx, fy = fx[None, :, None], fy[:, None, None]
-    top = image[y0][:, x0] * (1 - fx) + image[y0][:, x1] * fx
-    low = image[y1][:, x0] * (1 - fx) + image[y1][:, x1] * fx
-    return top * (1 - fy) + low * fy
 
+def _linear(x: np.ndarray) -> np.ndarray:
+    return np.maximum(1 - np.abs(x), 0.0)
 
-def _tiles(row, size: int, thumbnail: bool) -> list[np.ndarray]:
+
+KERNELS = {"bicubic": (_cubic, 2.0), "bilinear": (_linear, 1.0)}
+
+
+@lru_cache(maxsize=64)
+def resampling(old: int, new: int, method: str = "bicubic") -> tuple[np.ndarray, np.ndarray]:
+    """Places and weights (new x taps) of one axis, with half-pixel centres.
+
+    The kernel is widened by the factor of shrinking, so every input pixel counts; weights sum to 1 at the borders, too.
+    """
+    kernel, reach = KERNELS[method]
+    scale = max(old / new, 1.0)
+    centre = (np.arange(new) + 0.5) * old / new
+    first = np.floor(centre - reach * scale).astype(int)
+    at = first[:, None] + np.arange(int(np.ceil(2 * reach * scale)) + 2)[None, :]
+    weight = kernel((at + 0.5 - centre[:, None]) / scale) * ((at >= 0) & (at < old))
+    return np.clip(at, 0, old - 1), weight / weight.sum(axis=1, keepdims=True)
+
+
+def resample(image: np.ndarray, width: int, height: int, method: str = "bicubic") -> np.ndarray:
+    """Resize rows x columns x channels of 0 to 255, columns first; both steps round to whole values, as for 8-bit images."""
+    def along(rows: np.ndarray, new: int) -> np.ndarray:
+        if len(rows) == new:
+            return rows
+        at, weight = resampling(len(rows), new, method)
+        out = np.zeros((new, *rows.shape[1:]))
+        for tap in range(at.shape[1]):
+            out += weight[:, tap, None, None] * rows[at[:, tap]]
+        return np.clip(np.floor(out + 0.5), 0, 255)
+
+    wide = along(image.swapaxes(0, 1), width).swapaxes(0, 1)
+    return along(wide, height)
+
+
+def _tiles(row, size: int, thumbnail: bool, method: str) -> list[np.ndarray]:
     """Normalised tiles of one planned image, channel first; the whole image last if asked for."""
+    if row.pixels is None:
+        return []
     raw = np.frombuffer(row.pixels, np.uint8).reshape(row.height, row.width, row.channels)
     rgb = (np.repeat(raw, 3, axis=2) if row.channels == 1 else raw[:, :, 2::-1]).astype(float)
-    whole = _bilinear(rgb, row.target_width, row.target_height)
+    whole = resample(rgb, row.target_width, row.target_height, method)
     cut = [whole[y:y + size, x:x + size] for y in range(0, row.target_height, size)
            for x in range(0, row.target_width, size)]
     if thumbnail and len(cut) > 1:
-        cut.append(_bilinear(rgb, size, size))
+        cut.append(resample(rgb, size, size, method))
     mean, std = np.asarray(CHANNEL_MEAN), np.asarray(CHANNEL_STD)
     return [((t / 255.0 - mean) / std).astype(np.float32).transpose(2, 0, 1) for t in cut]
 
@@ -98,10 +131,15 @@ def _map_images(images: DataFrame, size: int, make: Callable[[object], pd.DataFr
     return plan_tiles(images, "width", "height", size).select(*needed).mapInPandas(run, schema)
 
 
-def resize(images: DataFrame, thumbnail: bool = False, size: int = INPUT_SIZE) -> DataFrame:
-    """Decoded images to ``path, tile, is_thumbnail, pixel_values``: one row per tile, 3 x size x size floats."""
+def resize(images: DataFrame, thumbnail: bool = False, size: int = INPUT_SIZE, method: str = "bicubic") -> DataFrame:
+    """Decoded images to ``path, tile, is_thumbnail, pixel_values``: one row per tile, 3 x size x size floats.
+
+    An image without pixels keeps one row with nulls.
+    """
     def make(row) -> pd.DataFrame:
-        tiles = _tiles(row, size, thumbnail)
+        tiles = _tiles(row, size, thumbnail, method)
+        if not tiles:
+            return pd.DataFrame({"path": [row.path], "tile": [None], "pixel_values": [None], "is_thumbnail": [None]}, dtype=object)
         blocks = (row.target_width // size) * (row.target_height // size)
         return pd.DataFrame({"path": row.path, "tile": range(len(tiles)), "pixel_values": [t.ravel() for t in tiles],
                              "is_thumbnail": [i >= blocks for i in range(len(tiles))]})
@@ -109,14 +147,15 @@ def resize(images: DataFrame, thumbnail: bool = False, size: int = INPUT_SIZE) -
     return _map_images(images, size, make, "path string, tile int, is_thumbnail boolean, pixel_values array<float>")
 
 
-def pack_tiles(images: DataFrame, thumbnail: bool = False, size: int = INPUT_SIZE) -> DataFrame:
+def pack_tiles(images: DataFrame, thumbnail: bool = False, size: int = INPUT_SIZE, method: str = "bicubic") -> DataFrame:
     """Decoded images to ``path, num_tiles, pixel_values``: the stacked tiles of an image in one row.
 
-    Packed where the image is decoded, so tiles are never shuffled.
+    Packed where the image is decoded, so tiles are never shuffled. An image without pixels has 0 tiles and null values.
     """
     def make(row) -> pd.DataFrame:
-        tiles = _tiles(row, size, thumbnail)
-        return pd.DataFrame({"path": [row.path], "num_tiles": [len(tiles)], "pixel_values": [np.stack(tiles).ravel()]})
+        tiles = _tiles(row, size, thumbnail, method)
+        pixels = np.stack(tiles).ravel() if tiles else None
+        return pd.DataFrame({"path": [row.path], "num_tiles": [len(tiles)], "pixel_values": [pixels]})
 
     return _map_images(images, size, make, "path string, num_tiles int, pixel_values array<float>")
 

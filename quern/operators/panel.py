@@ -6,11 +6,13 @@ the length of the calendar however many raw rows the series has.
 
 from __future__ import annotations
 
+import pickle
 import time
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,6 +100,54 @@ def map_groups(df: DataFrame, group: str, fn: Callable[[pd.DataFrame], pd.DataFr
     return df.groupBy(group).applyInPandas(run, schema)
 
 
+def fold_groups(df: DataFrame, group: str, start: Callable[[], object], add: Callable[[object, pd.DataFrame], object],
+                merge: Callable[[object, object], object], finish: Callable[[object], dict], schema: str,
+                held: int = 10_000, ways: int = 64) -> DataFrame:
+    """A group function in mergeable form: ``group`` and the columns ``finish`` makes of the group's state.
+
+    ``add`` takes rows of one group into a state, ``merge`` joins two states, in any order. Every task folds the rows
+    it has and sends one state per group (more often beyond ``held`` groups), so no task gets the rows of a whole group.
+    The states of a group are merged in ``ways`` parts and then once more. ``schema`` names the columns of
+    ``finish``; null is a group of its own, and a frame without rows has no groups.
+    """
+    key = df.schema[group].dataType.simpleString()
+    packed = f"_group {key}, _part int, _state binary"
+
+    def dumped(states: dict, part: int) -> pd.DataFrame:
+        names = [None if k is pd.NA else k for k in states]
+        return pd.DataFrame({"_group": pd.Series(names, dtype=object), "_part": part,
+                             "_state": [pickle.dumps(s) for s in states.values()]})
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        states, part = {}, TaskContext.get().partitionId() % ways
+        for batch in batches:
+            for name, rows in batch.groupby("_group", dropna=False, sort=False):
+                name = pd.NA if pd.isna(name) else name
+                states[name] = add(states[name] if name in states else start(), rows.drop(columns="_group"))
+            if len(states) > held:
+                yield dumped(states, part)
+                states = {}
+        yield dumped(states, part)
+
+    def reduced(batches: Iterator[pd.DataFrame]) -> object:
+        state = start()
+        for batch in batches:
+            for other in batch["_state"]:
+                state = merge(state, pickle.loads(other))
+        return state
+
+    def join(names: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame({"_group": pd.Series([names[0]], dtype=object), "_part": [0], "_state": [pickle.dumps(reduced(batches))]})
+
+    def end(names: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame({group: pd.Series([names[0]], dtype=object),
+                            **{c: [v] for c, v in finish(reduced(batches)).items()}})
+
+    parts = df.withColumn("_group", F.col(group)).mapInPandas(fold, packed)
+    fewer = parts.groupBy("_group", "_part").applyInPandas(join, packed)
+    return fewer.groupBy("_group").applyInPandas(end, f"`{group}` {key}, {schema}")
+
+
 def model_count(df: DataFrame, concurrent: int, batches: int) -> DataFrame:
     """Number of models and the number of trials that run at once and in all."""
     top = df.agg(F.max("model_num").alias("num_models"))

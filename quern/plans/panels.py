@@ -203,6 +203,36 @@ def map_groups(spark, sf):
                             "ID int, rows bigint, first_y double, last_y double, slope double", order=["ds"])
 
 
+SAMPLES = 9
+
+
+def _sums(rows: pd.DataFrame) -> np.ndarray:
+    """Per sample of the rows: count, sums of x, y, x * x and x * y."""
+    x, y = rows["l_quantity"].to_numpy(float), rows["l_extendedprice"].to_numpy(float)
+    terms, sample = (np.ones(len(x)), x, y, x * x, x * y), rows["l_orderkey"].to_numpy() % SAMPLES
+    return np.stack([np.bincount(sample, t, SAMPLES) for t in terms], axis=1)
+
+
+def _median_slope(sums: np.ndarray) -> dict:
+    n, x, y, xx, xy = sums.T
+    slopes = (n * xy - x * y) / (n * xx - x * x)
+    return {"rows": int(n.sum()), "slope": round(float(np.median(slopes)), 4), "spread": round(float(np.ptp(slopes)), 4)}
+
+
+@query("fold_groups", f"""
+WITH samples AS (
+  SELECT l_returnflag, l_orderkey % {SAMPLES} AS sample, count(*) AS n, regr_slope(l_extendedprice, l_quantity) AS slope
+  FROM lineitem GROUP BY 1, 2)
+SELECT l_returnflag, CAST(sum(n) AS BIGINT) AS rows, round(median(slope), 4) AS slope,
+       round(max(slope) - min(slope), 4) AS spread FROM samples GROUP BY 1""")
+def fold_groups(spark, sf):
+    """A line that outliers can't move far: the median of the slopes of nine samples, three hot groups."""
+    lines = st.load(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", F.col("l_quantity").cast("double"),
+                                                  F.col("l_extendedprice").cast("double"))
+    return panel.fold_groups(lines, "l_returnflag", lambda: np.zeros((SAMPLES, 5)), lambda state, rows: state + _sums(rows),
+                             np.add, _median_slope, "rows bigint, slope double, spread double")
+
+
 @query("guided_trials")
 def guided_trials(spark, sf):
     """Twelve trials per model, the last four suggested from the log; the best of each model."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from quern.functions import columns, hashing, ordering
 from quern.operators import clean, features, registry, splits
 from quern.plans import standins as st
 from quern.plans.registry import query, sql_uniform
+from quern.session import ensure_checkpoint_dir
 from quern.sources import synth, tables
 from quern.sources.tables import load
 
@@ -80,6 +83,31 @@ def upsert_latest(spark, sf):
     return merged.select("custkey", "balance")
 
 
+@query("merge_partitions", """
+WITH changes AS (
+  SELECT c_custkey AS custkey, c_acctbal + 100 AS balance, (c_nationkey + 1) % 25 AS nation FROM customer
+  WHERE c_nationkey < 5 AND c_custkey % 3 = 0 OR c_nationkey = 24
+  UNION ALL SELECT c_custkey + 10000000, c_acctbal, 2 FROM customer WHERE c_custkey % 50 = 0)
+SELECT c_custkey AS custkey, c_acctbal AS balance, c_nationkey AS nation FROM customer
+WHERE c_custkey NOT IN (SELECT custkey FROM changes)
+UNION ALL SELECT custkey, balance, nation FROM changes""")
+def merge_partitions(spark, sf):
+    """Write a partitioned table, merge changed, moved and new rows into some partitions (one becomes empty), read it."""
+    base = load(spark, sf, "customer").select(F.col("c_custkey").alias("custkey"), F.col("c_acctbal").alias("balance"),
+                                              F.col("c_nationkey").alias("nation"))
+    moved = base.where("nation < 5 AND custkey % 3 = 0 OR nation = 24").select(
+        "custkey", (F.col("balance") + 100).alias("balance"), ((F.col("nation") + 1) % 25).cast(base.schema["nation"].dataType).alias("nation"))
+    new = base.where("custkey % 50 = 0").select((F.col("custkey") + 10000000).alias("custkey"), "balance",
+                                                F.lit(2).cast(base.schema["nation"].dataType).alias("nation"))
+    ensure_checkpoint_dir(spark)
+    name = f"merge_partitions_{uuid.uuid4().hex}"
+    tables.save_table(base, name, partition_by=["nation"])
+    tables.merge_partitions(name, moved.union(new), "custkey")
+    out = spark.table(name).checkpoint()
+    tables.drop_table(spark, name)
+    return out
+
+
 @query("filter_conjunction", """
 SELECT l_orderkey, l_partkey, l_extendedprice FROM lineitem
 WHERE l_returnflag = 'R' AND l_linestatus = 'F' AND l_quantity = 10""")

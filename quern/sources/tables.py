@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quern.functions import joins
+
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -108,6 +111,44 @@ def _replace(df: DataFrame, table: str, partition_by: Sequence[str]) -> None:
     spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
 
 
+def merge_partitions(table: str, changes: DataFrame, key: str) -> None:
+    """``merge`` into a partitioned table that rewrites only the partitions an arriving key is in or goes to.
+
+    ``changes`` has the table's columns and unique keys. Files of the other partitions are neither read past their
+    keys nor written. Spark writes beside the table and moves the new partitions in when all tasks are done; partitions
+    that lost all of their rows are dropped after that, so a stop in between leaves a moved row twice until the merge
+    is repeated.
+    """
+    spark = changes.sparkSession
+    current = spark.table(table)
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if not parts:
+        raise ValueError(f"table {table} has no partitions")
+    arriving = changes.select(key)
+    places = current.select(key, *parts)
+    touched = places.join(arriving, key, "left_semi").select(*parts).union(changes.select(*parts)).distinct()
+    filled = joins.match_keys(places.join(arriving, key, "left_anti"), touched, parts).select(*parts).union(changes.select(*parts))
+    # One row per partition at most, which the catalog holds in the driver anyway.
+    emptied = touched.exceptAll(filled.distinct()).collect()
+    rows = upsert(joins.match_keys(current, touched, parts), changes, key)
+    mode = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")  # the writer of a catalog table has no option for it
+    try:
+        rows.select(*current.columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, mode)
+    for row in emptied:
+        gone = ", ".join(f"{name} = {sql_literal(row[name])}" for name in parts)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({gone})")
+
+
+def sql_literal(value) -> str:
+    """A partition value as SQL text."""
+    if value is None:
+        return "NULL"
+    return str(value) if isinstance(value, (int, float)) else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def upsert(base: DataFrame, changes: DataFrame, key: str, order: Sequence[Column] | None = None) -> DataFrame:
     """Base rows whose key does not arrive, plus one row per arriving key.
 

@@ -64,10 +64,41 @@ def test_images_to_packed_tiles(spark, tmp_path):
             np.testing.assert_allclose(pixels[:, c], want, atol=1e-5)
 
 
-def test_bilinear_keeps_a_gradient():
-    image = np.tile(np.arange(8.0)[None, :, None], (4, 1, 3))
-    out = inference._bilinear(image, 16, 4)
-    assert out.shape == (4, 16, 3) and np.all(np.diff(out[0, :, 0]) >= 0) and out.min() == 0 and out.max() == 7
+def test_resampling_by_hand():
+    ramp = np.tile(np.arange(8.0)[None, :, None] * 30, (4, 1, 3))
+    for method in inference.KERNELS:
+        out = inference.resample(ramp, 16, 4, method)
+        assert out.shape == (4, 16, 3) and np.all(np.diff(out[0, :, 0]) >= 0)
+        np.testing.assert_array_equal(inference.resample(ramp, 8, 4, method), ramp)
+        np.testing.assert_array_equal(inference.resample(np.full((5, 7, 1), 9.0), 3, 11, method), np.full((11, 3, 1), 9.0))
+    # Halving four pixels: the kernel is twice as wide, weights at distances 0.25, 0.75, 1.25 (and 1.75, cut off at the border).
+    at, weight = inference.resampling(4, 2)
+    near = [1.5 * d ** 3 - 2.5 * d ** 2 + 1 for d in (0.25, 0.75)]
+    far = -0.5 * 1.25 ** 3 + 2.5 * 1.25 ** 2 - 4 * 1.25 + 2
+    want = np.array([near[0], near[0], near[1], far])
+    got = np.zeros(4)
+    np.add.at(got, at[0], weight[0])
+    np.testing.assert_allclose(got, want / want.sum(), atol=1e-12)
+    row = np.array([0.0, 100.0, 200.0, 40.0])[None, :, None]
+    assert inference.resample(row, 2, 1)[0, 0, 0] == np.floor(want @ row[0, :, 0] / want.sum() + 0.5)
+
+
+def test_shrinking_averages_and_clips():
+    stripes = np.tile(np.array([0.0, 255.0] * 32)[None, :, None], (2, 1, 1))
+    inner = inference.resample(stripes, 8, 2)[:, 1:-1]
+    assert np.all(np.abs(inner - 127.5) < 2)  # two-point interpolation would hit 0 or 255
+    step = np.repeat([0.0, 255.0], 4)[None, :, None]
+    grown = inference.resample(step, 32, 1)
+    assert grown.min() == 0 and grown.max() == 255
+
+
+def test_an_image_without_pixels_keeps_its_row(spark):
+    rows = [("a", None, None, None, None), ("b", 2, 2, 1, bytes([1, 2, 3, 4]))]
+    images = spark.createDataFrame(rows, "path string, height int, width int, channels int, pixels binary")
+    sizes = {r["path"]: (r["tile"], r["pixel_values"] and len(r["pixel_values"])) for r in inference.resize(images, size=4).collect()}
+    assert sizes == {"a": (None, None), "b": (0, 48)}
+    packed = {r["path"]: r["num_tiles"] for r in inference.pack_tiles(images, size=4).collect()}
+    assert packed == {"a": 0, "b": 1}
 
 
 class Counter:

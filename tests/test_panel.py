@@ -3,6 +3,7 @@ import datetime
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from quern.operators import panel, trials
 from quern.sources import tables
@@ -204,3 +205,27 @@ def test_map_groups_sorts(spark):
 
     out = panel.map_groups(frame, "g", first, "g int, y double", order=["ds"]).collect()
     assert sorted(map(tuple, out)) == [(1, 2.0), (2, 1.0)]
+
+
+def test_fold_groups_merges_states_of_a_hot_group(spark):
+    rows = spark.range(0, 20_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 50 == 1, F.concat(F.lit("k"), F.col("id") % 7)).otherwise("hot").alias("k"),
+        (F.col("id") % 101).cast("double").alias("v"))
+    want = {}
+    for r in rows.collect():
+        want.setdefault(r["k"], []).append(r["v"])
+
+    def add(state, part):
+        return (state[0] + len(part), max(state[1], part["v"].max()), state[2] | set(part["v"] % 10))
+
+    def fold(frame, **options):
+        return panel.fold_groups(frame, "k", lambda: (0, -1.0, frozenset()), add,
+                                 lambda a, b: (a[0] + b[0], max(a[1], b[1]), a[2] | b[2]),
+                                 lambda s: {"n": s[0], "top": s[1], "digits": len(s[2])}, "n bigint, top double, digits int", **options)
+
+    for options in ({}, {"held": 1, "ways": 2}):
+        got = {r["k"]: (r["n"], r["top"], r["digits"]) for r in fold(rows, **options).collect()}
+        assert got == {k: (len(v), max(v), len({x % 10 for x in v})) for k, v in want.items()}
+    assert fold(rows.limit(0)).count() == 0
+    plan = fold(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" in plan and plan.index("MapInPandas") > plan.index("Exchange")

@@ -153,6 +153,72 @@ def test_images(spark, tmp_path):
     assert rows[1]["path"].endswith("broken.png") and rows[1]["pixels"] is None and rows[1]["error"]
 
 
+def filtered_png(pixels, colour_type):
+    """A PNG whose rows go through all five filters in turn."""
+    height, width, step = pixels.shape
+    raw, above = b"", np.zeros(width * step, int)
+    for y in range(height):
+        line = pixels[y].ravel().astype(int)
+        left = np.concatenate([np.zeros(step, int), line[:-step]])
+        corner = np.concatenate([np.zeros(step, int), above[:-step]])
+        guess = left + above - corner
+        gaps = [abs(guess - left), abs(guess - above), abs(guess - corner)]
+        paeth = np.where((gaps[0] <= gaps[1]) & (gaps[0] <= gaps[2]), left, np.where(gaps[1] <= gaps[2], above, corner))
+        minus = [np.zeros_like(line), left, above, (left + above) // 2, paeth][y % 5]
+        raw += bytes([y % 5]) + ((line - minus) % 256).astype(np.uint8).tobytes()
+        above = line
+
+    def chunk(kind, body):
+        return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+
+    head = struct.pack(">IIBBBBB", width, height, 8, colour_type, 0, 0, 0)
+    return media.PNG_SIGNATURE + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
+
+
+def test_images_of_a_content_column(spark, tmp_path):
+    random = np.random.default_rng(7)
+    (tmp_path / "rgb.png").write_bytes(filtered_png(random.integers(0, 256, (11, 6, 3)), 2))
+    (tmp_path / "grey.png").write_bytes(filtered_png(random.integers(0, 256, (10, 9, 1)), 0))
+    (tmp_path / "broken.png").write_bytes(b"no image")
+    files = tables.read_binary(spark, str(tmp_path), "*.png").select("path", "length", "content", F.lit(1).alias("width"))
+    got = {r["path"].rsplit("/", 1)[-1]: r for r in media.decode_images(files).collect()}
+    assert list(got["rgb.png"].asDict()) == ["path", "length", "height", "width", "channels", "pixels", "error"]
+    for r in media.read_images(spark, str(tmp_path)).collect():
+        mine = got[r["path"].rsplit("/", 1)[-1]]
+        assert [mine[c] for c in ("height", "width", "channels", "pixels")] == [r[c] for c in ("height", "width", "channels", "pixels")]
+        assert bool(mine["error"]) == bool(r["error"])
+    more = spark.createDataFrame([(1, None), (2, b""), (3, filtered_png(random.integers(0, 256, (3, 2, 4)), 6))], "id int, body binary")
+    rows = {r["id"]: r for r in media.decode_images(more, "body").collect()}
+    assert rows[1]["error"] == "no content" and rows[2]["pixels"] is None and rows[2]["error"]
+    assert (rows[3]["channels"], len(rows[3]["pixels"])) == (3, 18)
+    own = media.decode_images(more, "body", decode=lambda raw: np.full((1, 2, 1), len(raw), np.uint8))
+    assert [(r["width"], r["error"]) for r in own.sort("id").collect()] == [(None, "no content"), (2, None), (2, None)]
+    assert media.decode_images(more.limit(0), "body").count() == 0
+
+
+def test_merge_rewrites_touched_partitions_only(spark, tmp_path):
+    rows = [(i, i * 10, "p'" + str(i % 4)) for i in range(40)] + [(100, 0, None), (101, 1, "gone")]
+    tables.save_table(spark.createDataFrame(rows, "id int, v int, part string"), "merged", partition_by=["part"])
+    place = spark.table("merged").select(F.input_file_name().alias("f"), "part")
+    before = {(r["part"], r["f"]) for r in place.distinct().collect()}
+    changes = [(1, -1, "p'1"), (101, -2, "p'1"), (100, -3, "new"), (500, -4, "new")]
+    tables.merge_partitions("merged", spark.createDataFrame(changes, "id int, v int, part string"), "id")
+    spark.catalog.refreshTable("merged")
+    want = {i: (v, p) for i, v, p in rows} | {i: (v, p) for i, v, p in changes}
+    found = spark.table("merged").collect()
+    assert len(found) == len(want) and {r["id"]: (r["v"], r["part"]) for r in found} == want
+    after = {(r["part"], r["f"]) for r in place.distinct().collect()}
+    assert {x for x in before if x[0] in ("p'0", "p'2", "p'3")} == {x for x in after if x[0] in ("p'0", "p'2", "p'3")}
+    assert {p for p, _ in after} == {"p'0", "p'1", "p'2", "p'3", "new"}
+    tables.merge_partitions("merged", spark.createDataFrame([], "id int, v int, part string"), "id")
+    assert spark.table("merged").count() == len(want)
+    with pytest.raises(ValueError):
+        tables.save_table(spark.range(2), "flat")
+        tables.merge_partitions("flat", spark.range(1), "id")
+    for name in ("merged", "flat"):
+        tables.drop_table(spark, name)
+
+
 def test_stream_takes_each_file_once(spark, tmp_path):
     source, target, mark = (tmp_path / n for n in ("in", "out", "mark"))
     source.mkdir()
