@@ -342,24 +342,104 @@ def next_trial(ranked: DataFrame) -> DataFrame:
     return ranked.where(F.col("place") == 1)
 
 
+def suggest_option(log: DataFrame, group: str | Sequence[str], option: str, loss: str, trial: str, size: Column | int,
+                   n_candidates: int = CANDIDATES, seed: int | str = 2025, startup: int = STARTUP_TRIALS) -> DataFrame:
+    """One of the options 0 to ``size - 1`` per group, by their shares among good and other trials.
+
+    The good trials are those of ``suggest``. Candidates are drawn from the shares of the good ones, one added to every
+    count; the candidate with the highest ``density = log(share in good) - log(share in others)`` wins, of equal ones
+    the lowest. Groups with fewer than ``startup`` trials get a uniform draw. Rows are counted per option before they move.
+    """
+    keys = [group] if isinstance(group, str) else list(group)
+    size = F.lit(size) if isinstance(size, int) else size
+    ranking = Window.partitionBy(*keys).orderBy(F.col(loss), F.col(trial))
+    top = log.withColumn("_rn", F.row_number().over(ranking)).where(F.col("_rn") <= GOOD_LIMIT)
+
+    def as_map(counts: DataFrame, name: str) -> DataFrame:
+        return counts.groupBy(*keys).agg(F.sum("_c").alias(f"{name}_n"),
+                                         F.map_from_entries(F.collect_list(F.struct(option, "_c"))).alias(name))
+
+    every = as_map(log.groupBy(*keys, option).agg(F.count(F.lit(1)).alias("_c")), "_all")
+    good_n = F.least(F.ceil(F.lit(GOOD_SHARE) * F.col("_all_n")), F.lit(GOOD_LIMIT))
+    good = joins.match_keys(top, every, keys).where(F.col("_rn") <= good_n)
+    good = as_map(good.groupBy(*keys, option).agg(F.count(F.lit(1)).alias("_c")), "_good")
+
+    def of(name: str, o: Column) -> Column:
+        return F.coalesce(F.element_at(name, o), F.lit(0))
+
+    def total(weights: Column) -> Column:
+        return F.aggregate(weights, F.lit(0).cast("long"), lambda acc, w: acc + w)
+
+    numbers = F.transform(F.sequence(F.lit(0), size - 1), lambda o: o.cast(log.schema[option].dataType))
+    both = joins.match_keys(every, good, keys).withColumns({
+        "_g": F.transform(numbers, lambda o: of("_good", o) + 1),
+        "_b": F.transform(numbers, lambda o: of("_all", o) - of("_good", o) + 1)})
+
+    def candidate(k: Column) -> Column:
+        u = hashing.hash_uniform(seed, F.concat_ws("-", hashing.joined_key(*keys), k.cast("string")), "option")
+        before = F.filter(numbers, lambda o: total(F.slice("_g", F.lit(1), o.cast("int") + 1)) <= u * total(F.col("_g")))
+        drawn = F.when(F.col("_all_n") < startup, F.floor(u * size).cast("int")).otherwise(F.size(before))
+        share = F.log(F.get("_g", drawn) / total(F.col("_g"))) - F.log(F.get("_b", drawn) / total(F.col("_b")))
+        order = F.when(F.col("_all_n") < startup, k.cast("double")).otherwise(-F.round(share, 9))
+        return F.struct(order.alias("_o"), drawn.alias("option"), F.round(share, 9).alias("density"))
+
+    best = F.array_min(F.transform(F.sequence(F.lit(0), F.lit(n_candidates - 1)), candidate))
+    return both.select(*keys, best.alias("_best")).select(*keys, F.col("_best.option").alias(option), F.col("_best.density").alias("density"))
+
+
 @dataclass(frozen=True)
 class Range:
-    """A numeric dimension of a guided search."""
+    """A numeric dimension of a guided search; ``whole`` makes it the integers lo..hi."""
 
     lo: float
     hi: float
     log: bool = False
+    whole: bool = False
+    condition: tuple[str, object] | None = None
+
+    def only_if(self, name: str, value: object) -> "Range":
+        return replace(self, condition=(name, value))
+
+    def _end(self) -> float:
+        return self.hi + 1 if self.whole else self.hi
 
     def to_unit(self, value: Column) -> Column:
+        """Whole numbers stand for the middle of their stretch."""
+        if self.whole:
+            value = F.sqrt(value * (value + 1.0)) if self.log else value + 0.5
         if self.log:
-            return (F.log(value) - F.lit(math.log(self.lo))) / F.lit(math.log(self.hi / self.lo))
-        return (value - F.lit(float(self.lo))) / F.lit(float(self.hi) - float(self.lo))
+            return (F.log(value) - F.lit(math.log(self.lo))) / F.lit(math.log(self._end() / self.lo))
+        return (value - F.lit(float(self.lo))) / F.lit(float(self._end()) - float(self.lo))
 
     def from_unit(self, unit: Column) -> Column:
-        return hashing.log_uniform(unit, self.lo, self.hi) if self.log else hashing.uniform(unit, self.lo, self.hi)
+        value = (hashing.log_uniform if self.log else hashing.uniform)(unit, self.lo, self._end())
+        if not self.whole:
+            return value
+        return F.least(F.greatest(F.floor(value), F.lit(int(self.lo))), F.lit(int(self.hi))).cast("int")
+
 
+@dataclass(frozen=True)
+class Options:
+    """A dimension of a guided search with a few unordered values; later dimensions may depend on it by ``only_if``."""
+
+    values: tuple
+    condition: tuple[str, object] | None = None
+
+    def only_if(self, name: str, value: object) -> "Options":
+        return replace(self, condition=(name, value))
+
+    def from_unit(self, unit: Column) -> Column:
+        return hashing.pick(unit, self.values)
 
-def guided_search(groups: DataFrame, group: str, ranges: Mapping[str, Range],
+    def place(self, value: Column) -> Column:
+        """Position of a value, from 0; null stays null."""
+        return F.array_position(F.array(*[F.lit(v) for v in self.values]), value) - 1
+
+    def at(self, place: Column) -> Column:
+        return F.get(F.array(*[F.lit(v) for v in self.values]), place.cast("int"))
+
+
+def guided_search(groups: DataFrame, group: str, ranges: Mapping[str, Range | Options],
                   evaluate: Callable[[DataFrame], DataFrame], n_trials: int, startup: int = STARTUP_TRIALS,
                   seed: int = 2025) -> DataFrame:
     """A search per row of ``groups`` in which later trials learn from earlier ones.
@@ -367,23 +447,52 @@ def guided_search(groups: DataFrame, group: str, ranges: Mapping[str, Range],
     The first ``startup`` trials are random.  Each later round asks for one more trial of every group at
     once: all parameters of all groups are ranked in one pass over the log, then ``evaluate`` adds a
     column ``loss`` to the frame ``group, trial, <params>``.  The log is checkpointed per round.
+
+    A dimension with a condition learns from the trials of its branch only and is null in the others; a branch
+    with fewer than ``startup`` trials is drawn at random.
     """
     ensure_checkpoint_dir(groups.sparkSession)
-    space = {name: Param(r.from_unit) for name, r in ranges.items()}
+    space = {name: Param(r.from_unit, r.condition) for name, r in ranges.items()}
     columns = [group, "trial", *ranges, "loss"]
+    numeric = {n: r for n, r in ranges.items() if isinstance(r, Range)}
+    options = {n: r for n, r in ranges.items() if isinstance(r, Options)}
     log = evaluate(sample(groups.select(group), group, space, startup, seed)).select(*columns).checkpoint()
     for number in range(startup, n_trials):
-        units = log.select(group, "trial", "loss", *[r.to_unit(F.col(n)).alias(n) for n, r in ranges.items()])
-        long = units.unpivot([group, "trial", "loss"], list(ranges), "param", "unit")
-        chosen = next_trial(suggest(long, [group, "param"], "unit", "loss", "trial", 0.0, 1.0,
-                                    seed=f"{seed}-{number}", startup=startup))
-        wide = chosen.groupBy(group).agg(*[F.max(F.when(F.col("param") == n, F.col("value"))).alias(n) for n in ranges])
-        asked = wide.select(group, F.lit(number).alias("trial"),
-                            *[r.from_unit(F.col(n)).alias(n) for n, r in ranges.items()])
-        log = log.unionByName(evaluate(asked).select(*columns)).checkpoint()
+        wide = groups.select(group)
+        if numeric:
+            chosen = next_trial(suggest(_by_param(log, group, {n: r.to_unit(F.col(n)) for n, r in numeric.items()}),
+                                        [group, "param"], "at", "loss", "trial", 0.0, 1.0, seed=f"{seed}-{number}", startup=startup))
+            wide = joins.match_keys(wide, _by_name(chosen, group, numeric, "value"), [group], "left")
+        if options:
+            sizes = F.create_map(*[F.lit(x) for n, r in options.items() for x in (n, len(r.values))])
+            chosen = suggest_option(_by_param(log, group, {n: r.place(F.col(n)) for n, r in options.items()}),
+                                    [group, "param"], "at", "loss", "trial", F.element_at(sizes, F.col("param")),
+                                    seed=f"{seed}-{number}", startup=startup)
+            wide = joins.match_keys(wide, _by_name(chosen, group, options, "at"), [group], "left")
+        asked = wide.withColumn("trial", F.lit(number))
+        for name, r in ranges.items():
+            fresh = hashing.hash_uniform(f"{seed}-{number}", hashing.joined_key(group, "trial"), name)
+            if isinstance(r, Options):
+                value = F.coalesce(r.at(F.col(name)), r.from_unit(fresh))
+            else:
+                value = r.from_unit(F.coalesce(F.col(name), fresh))
+            if r.condition:
+                value = F.when(F.col(r.condition[0]) == F.lit(r.condition[1]), value)
+            asked = asked.withColumn(name, value)
+        log = log.unionByName(evaluate(asked.select(group, "trial", *ranges)).select(*columns)).checkpoint()
     return log
 
 
+def _by_param(log: DataFrame, group: str, values: Mapping[str, Column]) -> DataFrame:
+    """Rows ``group, trial, loss, param, at`` of the parameters a trial has."""
+    wide = log.select(group, "trial", "loss", *[v.alias(n) for n, v in values.items()])
+    return wide.unpivot([group, "trial", "loss"], list(values), "param", "at").where(F.col("at").isNotNull())
+
+
+def _by_name(chosen: DataFrame, group: str, names: Mapping, value: str) -> DataFrame:
+    return chosen.groupBy(group).agg(*[F.max(F.when(F.col("param") == n, F.col(value))).alias(n) for n in names])
+
+
 def _bandwidth(n: Column, span: float) -> Column:
     return F.lit(span) * F.pow(F.greatest(n, F.lit(1)).cast("double"), F.lit(-0.2)) / 5
 

@@ -194,3 +194,24 @@ def parzen_rank(spark, sf):
     log = load(spark, sf, "events").select("event_type", "event_id", "value", F.abs(F.col("value") - 40).alias("loss"))
     ranked = trials.suggest(log, "event_type", "value", "loss", "event_id", 0.0, PARZEN_SPAN)
     return ranked.withColumns({"value": F.round("value", 6), "density": F.round("density", 6)})
+
+
+@query("parzen_option", f"""
+WITH log AS (SELECT user_id % 100 AS g, event_id % 5 AS o, event_id AS trial, abs(value - 40) AS loss FROM events),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY loss, trial) AS rn, count(*) OVER (PARTITION BY g) AS n FROM log),
+flagged AS (SELECT *, rn <= least(ceil(0.1 * n), 25) AS good FROM ranked),
+weights AS (SELECT a.g, a.o, count(f.trial) FILTER (good) + 1 AS wg, count(f.trial) FILTER (NOT good) + 1 AS wb
+  FROM (SELECT DISTINCT g, r.o FROM log, range(5) r(o)) a LEFT JOIN flagged f ON f.g = a.g AND f.o = a.o GROUP BY 1, 2),
+shares AS (SELECT *, sum(wg) OVER (PARTITION BY g ORDER BY o) AS upto, sum(wg) OVER (PARTITION BY g) AS tg,
+  sum(wb) OVER (PARTITION BY g) AS tb FROM weights),
+draws AS (SELECT g, k, {sql_uniform(2025, "g || '-' || k", 'option')} AS u FROM (SELECT DISTINCT g FROM log), range(8) r(k)),
+picked AS (SELECT d.g, d.k, min(s.o) AS o FROM draws d JOIN shares s ON s.g = d.g AND s.upto > u * tg GROUP BY 1, 2),
+scored AS (SELECT p.g, p.o, round(ln(wg::DOUBLE / tg::DOUBLE) - ln(wb::DOUBLE / tb::DOUBLE), 9) AS density
+  FROM picked p JOIN shares s ON s.g = p.g AND s.o = p.o)
+SELECT g AS user_group, CAST(o AS INTEGER) AS option, density FROM scored
+QUALIFY row_number() OVER (PARTITION BY g ORDER BY density DESC, o) = 1""")
+def parzen_option(spark, sf):
+    """Next option of a parameter without order per group, from a log of finished trials."""
+    log = load(spark, sf, "events").select((F.col("user_id") % 100).alias("user_group"), (F.col("event_id") % 5).alias("option"),
+                                           "event_id", F.abs(F.col("value") - 40).alias("loss"))
+    return trials.suggest_option(log, "user_group", "option", "loss", "event_id", 5, startup=1)

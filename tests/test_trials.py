@@ -184,3 +184,41 @@ def test_steps_stay_within_the_range(spark):
     from quern.functions import hashing
     out = spark.range(2000).select(hashing.stepped(hashing.hash_uniform(1, "id", "x"), 0.0, 9.97, 0.5).alias("x"))
     assert out.agg({"x": "max"}).first()[0] == 9.5
+
+
+def test_guided_search_of_a_conditional_space(spark):
+    space = {"kind": trials.Options(("near", "far", "off")),
+             "x": trials.Range(0.0, 1.0).only_if("kind", "near"),
+             "n": trials.Range(1, 64, log=True, whole=True).only_if("kind", "far"),
+             "depth": trials.Range(3, 10, whole=True)}
+
+    def evaluate(df):
+        branch = F.when(F.col("kind") == "near", F.abs(F.col("x") - 0.2)).when(F.col("kind") == "far", 1 + F.col("n") / 64).otherwise(3.0)
+        return df.withColumn("loss", branch + F.abs(F.col("depth") - 7) / 10)
+
+    groups = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "g string")
+    log = trials.guided_search(groups, "g", space, evaluate, 14, startup=8)
+    assert log.columns == ["g", "trial", "kind", "x", "n", "depth", "loss"]
+    rows = log.collect()
+    assert sorted((r["g"], r["trial"]) for r in rows) == [(g, t) for g in "abcd" for t in range(14)]
+    for r in rows:
+        assert (r["x"] is None) == (r["kind"] != "near") and (r["n"] is None) == (r["kind"] != "far")
+        assert 3 <= r["depth"] <= 10 and (r["x"] is None or 0 <= r["x"] <= 1) and (r["n"] is None or 1 <= r["n"] <= 64)
+    mean = {late: np.mean([r["loss"] for r in rows if (r["trial"] >= 8) == late]) for late in (True, False)}
+    assert mean[True] < mean[False]
+    near = {late: np.mean([r["kind"] == "near" for r in rows if (r["trial"] >= 8) == late]) for late in (True, False)}
+    assert near[True] >= near[False]
+
+
+def test_whole_ranges_go_there_and_back(spark):
+    for r in (trials.Range(3, 10, whole=True), trials.Range(1, 64, log=True, whole=True)):
+        df = spark.range(int(r.lo), int(r.hi) + 1).select(F.col("id"), r.from_unit(r.to_unit(F.col("id"))).alias("back"),
+                                                        r.from_unit(F.lit(1.0)).alias("top"))
+        assert all(x["id"] == x["back"] and x["top"] == r.hi for x in df.collect())
+
+
+def test_an_option_with_few_trials_is_a_draw(spark):
+    log = spark.createDataFrame([("few", 0, 1.0, 1), ("few", 0, 2.0, 2)] + [("many", i % 3, float(i % 3), i) for i in range(60)],
+                                "g string, o int, loss double, trial int")
+    got = {r["g"]: r["o"] for r in trials.suggest_option(log, "g", "o", "loss", "trial", 3).collect()}
+    assert set(got) == {"few", "many"} and got["few"] in (0, 1, 2) and got["many"] == 0
