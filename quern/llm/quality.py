@@ -1,8 +1,9 @@
 """Quality rules: base rules on words and lines, then a hashed n-gram log-likelihood ratio.
 
 The ratio compares two multinomials over hashed word unigrams and bigrams: that of the trusted documents
-and that of the whole raw corpus.  A document's score is the mean log ratio of its n-grams; it is kept if
-the score reaches a fixed threshold.  DataFrame operations only.
+and that of the whole raw corpus.  A document's score is the mean log ratio of its n-grams, taken from the
+counts of the half of the corpus that the document is not in; it is kept unless the score lies below the lower
+fence of the trusted documents' scores, which are made in the same way.  DataFrame operations only.
 """
 
 from __future__ import annotations
@@ -12,14 +13,19 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.session import ensure_checkpoint_dir
+
 SPACE = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
 FEATURES = 1 << 16
 SMOOTHING = 1.0
-#: Mean log ratio from which a document is kept.
-THRESHOLD = -0.1
+#: Parts of the corpus; each is scored by the counts of the others.
+FOLDS = 2
+#: Distances between the trusted scores' quartiles below the first of them at which rejection begins.
+FENCE = 3.0
 MIN_WORDS = 50
 MAX_REPEAT = 50
+COUNTS = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def words_of(text: Column) -> Column:
@@ -77,61 +83,93 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         covered.alias("n_repeat_words"))
 
 
+def fold_of(text: Column) -> Column:
+    """The half of the corpus a text belongs to; equal texts are in one half."""
+    return F.pmod(F.xxhash64(text, F.lit("half")), F.lit(FOLDS)).cast("int")
+
+
 def gram_counts(docs: DataFrame, trusted: DataFrame, features: int = FEATURES, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
-    """``gram, n_raw, n_trusted`` over all documents; ``trusted`` has a row for each trusted ``doc_id``.
+    """``fold, gram, n_raw, n_trusted`` over all documents; ``trusted`` has a row for each trusted ``doc_id``.
 
     Every document is counted in the raw multinomial, trusted ones in both.
     """
     ids = trusted.select(F.col(id_col).alias("_id"), F.lit(1).alias("_trusted")).dropDuplicates(["_id"])
     own = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     marked = own.join(ids.hint("shuffle_hash"), F.col("doc_id") == F.col("_id"), "left")
-    grams = marked.select("_trusted", words_of(F.col("_text")).alias("_words")) \
-        .select("_trusted", F.explode(grams_of(F.col("_words"), features)).alias("gram"))
-    return grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n_raw"), F.count("_trusted").alias("n_trusted"))
+    grams = marked.select("_trusted", fold_of(F.col("_text")).alias("fold"), words_of(F.col("_text")).alias("_words")) \
+        .select("_trusted", "fold", F.explode(grams_of(F.col("_words"), features)).alias("gram"))
+    return grams.groupBy("fold", "gram").agg(F.count(F.lit(1)).alias("n_raw"), F.count("_trusted").alias("n_trusted"))
 
 
 def ratio_table(counts: DataFrame, features: int = FEATURES, smoothing: float = SMOOTHING) -> list[float]:
-    """The log ratio of every gram from smoothed counts; at most ``features`` rows come to the driver.
+    """The log ratios that score each fold, one fold after the other; ``FOLDS * features`` rows come to the driver.
 
-    The occurrence that is being scored is left out of the raw count, or else rare grams of documents that
-    are not trusted would count against them in a small corpus.
+    A fold is scored by the counts of the other folds, so neither a document nor an equal copy of it, trusted or
+    not, counts for or against itself, and trusted documents are judged as strictly as all others.
     """
-    raw, trusted = [0] * features, [0] * features
+    raw, trusted = ([[0] * features for _ in range(FOLDS)] for _ in range(2))
     for r in counts.collect():
-        raw[r["gram"]], trusted[r["gram"]] = r["n_raw"], r["n_trusted"]
-    n_raw, n_trusted = sum(raw) + smoothing * features, sum(trusted) + smoothing * features
-    return [round(math.log((t + smoothing) / n_trusted) - math.log((max(r - 1, 0) + smoothing) / n_raw), 9)
-            for r, t in zip(raw, trusted)]
-
-
-def score(docs: DataFrame, ratios: list[float], threshold: float = THRESHOLD, features: int = FEATURES,
-          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The counts, ``base_failed``, ``llr`` and ``kept`` of every row of ``docs``, and the row itself as ``row``."""
+        raw[r["fold"]][r["gram"]], trusted[r["fold"]][r["gram"]] = r["n_raw"], r["n_trusted"]
+    out = []
+    for fold in range(FOLDS):
+        r, t = ([sum(x) for x in zip(*(part for k, part in enumerate(parts) if k != fold))] for parts in (raw, trusted))
+        n_raw, n_trusted = sum(r) + smoothing * features, sum(t) + smoothing * features
+        out += [round(math.log((y + smoothing) / n_trusted) - math.log((x + smoothing) / n_raw), 9) for x, y in zip(r, t)]
+    return out
+
+
+def score(docs: DataFrame, ratios: list[float], features: int = FEATURES, id_col: str = "doc_id",
+          text_col: str = "text") -> DataFrame:
+    """The counts, ``base_failed`` and ``llr`` of every row of ``docs``, and the row itself as ``row``."""
     table = F.split(F.lit(" ".join(map(repr, ratios))), " ").cast("array<double>")  # one literal
-    base = measures(docs, id_col, text_col).withColumn("_grams", grams_of(F.col("words"), features)).drop("words")
-    total = F.aggregate("_grams", F.lit(0.0), lambda a, g: a + F.get(table, g))
+    base = measures(docs, id_col, text_col).withColumns({
+        "_grams": grams_of(F.col("words"), features),
+        "_start": fold_of(F.coalesce(F.col("row")[text_col], F.lit(""))) * features}).drop("words")
+    total = F.aggregate("_grams", F.lit(0.0), lambda a, g: a + F.get(table, g + F.col("_start")))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
-    judged = base.withColumns({"llr": total / F.greatest(F.size("_grams"), F.lit(1)), "base_failed": failed}).drop("_grams")
-    # the columns of a generator are worked out once; a filter on others would be moved below and hold them all again
-    once = judged.select(F.inline(F.array(F.struct(*judged.columns))))
-    return once.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
+    return base.withColumns({"llr": total / F.greatest(F.size("_grams"), F.lit(1)), "base_failed": failed}) \
+        .drop("_grams", "_start")
+
+
+def trusted_fence(scored: DataFrame, trusted: DataFrame, fence: float = FENCE, id_col: str = "doc_id") -> float:
+    """The lower fence of the trusted documents' scores: first quartile less ``fence`` times the quartiles' distance.
 
+    Quartiles are exact over all trusted rows past the base rules, of scores to four places, which bounds the
+    values that the aggregate holds. Without any such row there is no fence (minus infinity).
+    """
+    ids = trusted.select(F.col(id_col).alias("_id")).dropDuplicates()
+    held = scored.where(~F.col("base_failed")).select("doc_id", F.round("llr", 4).alias("llr")) \
+        .join(ids, F.col("doc_id") == F.col("_id"), "left_semi")
+    quarters = held.agg(F.percentile("llr", F.array(F.lit(0.25), F.lit(0.75))).alias("q")).first()["q"]
+    return quarters[0] - fence * (quarters[1] - quarters[0]) if quarters else -math.inf
+
+
+def judge(docs: DataFrame, trusted: DataFrame, threshold: float | None, features: int, id_col: str, text_col: str,
+          keep: list[str]) -> DataFrame:
+    """``keep`` of the scored rows and ``kept``; scores are stored once, for the fence and for the verdict."""
+    ensure_checkpoint_dir(docs.sparkSession)
+    ratios = ratio_table(gram_counts(docs, trusted, features, id_col=id_col, text_col=text_col), features)
+    scored = score(docs, ratios, features, id_col, text_col).select(*keep).checkpoint()
+    if threshold is None:
+        threshold = trusted_fence(scored, trusted, id_col=id_col)
+    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= F.lit(threshold)))
 
-def quality_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, features: int = FEATURES,
+
+def quality_rules(docs: DataFrame, trusted: DataFrame, threshold: float | None = None, features: int = FEATURES,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, llr, kept`` per row.
 
+    A row past the base rules is kept from ``threshold`` on, by default the lower fence of the trusted documents.
     A null or empty text has no words and fails the base rules.  Repeated rows are judged alike, each on its
     own; a null id is never trusted.  Without any trusted document the ratio still is defined (both
-    multinomials are smoothed).  An empty table gives an empty table.
+    multinomials are smoothed) and the base rules alone decide.  An empty table gives an empty table.
     """
-    ratios = ratio_table(gram_counts(docs, trusted, features, id_col=id_col, text_col=text_col), features)
-    return score(docs, ratios, threshold, features, id_col, text_col).drop("row")
+    return judge(docs, trusted, threshold, features, id_col, text_col, [*COUNTS, "base_failed", "llr"])
 
 
-def keep_good(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, features: int = FEATURES,
+def keep_good(docs: DataFrame, trusted: DataFrame, threshold: float | None = None, features: int = FEATURES,
               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
-    ratios = ratio_table(gram_counts(docs, trusted, features, id_col=id_col, text_col=text_col), features)
-    return score(docs, ratios, threshold, features, id_col, text_col).where("kept").select("row.*")
+    judged = judge(docs, trusted, threshold, features, id_col, text_col, ["row", "doc_id", "base_failed", "llr"])
+    return judged.where("kept").select("row.*")
