@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from quern.session import ensure_checkpoint_dir
 
 SPACE = "[\\x20\\x09-\\x0D]+"
-SYMBOLS = "#*$%&|<>"
+IN_WORD = "[^\\x20\\x09-\\x0D]"
+SYMBOLS = "[#*$%&|<>]"
 FEATURES = 1 << 16
 SMOOTHING = 1.0
 #: Parts of the corpus; each is scored by the counts of the others.
@@ -29,7 +30,7 @@ COUNTS = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repe
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, SPACE), lambda w: w != "")
+    return F.array_remove(F.split(text, SPACE), "")
 
 
 def grams_of(words: Column, features: int = FEATURES) -> Column:
@@ -61,11 +62,11 @@ def repeat_words(words: Column, hashes: Column) -> Column:
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, the words, the counts of the base rules, and the whole row as ``row``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    with_word = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, " \t\n\x0b\x0c\r", "")) > 0)
+    with_word = F.filter(F.split(text, "\n"), lambda x: x.rlike(IN_WORD))
     first = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col(id_col).alias("doc_id"), words_of(text).alias("words"),
-        F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.array_join(words_of(text), "")).cast("long").alias("word_chars"),
+        F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         with_word.alias("_lines"))
     words = F.col("words")
     windows = F.transform(words, lambda w, i: F.shiftleft(F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)), 24)
