@@ -7,7 +7,10 @@ is summed on its own, and the (few) slice totals give every slice its starting v
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -74,9 +77,9 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
                     max_task_rows: int = MAX_TASK_ROWS, accuracy: int = ACCURACY) -> DataFrame:
     """Exact interpolated quantiles, one row per column: ``column, n, q_0, q_1, ...``.  NaN is left out.
 
-    A first pass sketches a bracket around every quantile.  The second counts what lies below it and
-    ranks only the values inside, so a few values in ten thousand are shuffled.  A quantile outside its
-    bracket would show in the counts and is then looked for among all values.
+    A first pass sketches a bracket around every quantile, a second counts what lies below and in it.  A bracket
+    of one value is the quantile itself; of the others only the values inside, a few in ten thousand, become
+    rows, which are ranked.  A quantile outside its bracket shows in the counts and is looked for among all values.
     """
     columns, probs = list(columns), list(probs)
     held = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in columns}
@@ -103,30 +106,38 @@ def _within(df: DataFrame, held: Mapping[str, Column], sizes: Mapping[str, int],
     if not brackets:
         return {}
     slots = list(brackets)
-    below = float("-inf")
-
-    def entry(k: int) -> Column:
-        value = held[slots[k][0]]
-        low, high = brackets[slots[k]]
-        key = F.when(value < F.lit(low), F.lit(below)).when(value <= F.lit(high), value)
-        return F.struct(F.lit(k).alias("slot"), key.alias("key"))
-
-    keys = df.select(F.inline(F.array(*[entry(k) for k in range(len(slots))]))).where(F.col("key").isNotNull())
-    counts = keys.groupBy("slot", "key").agg(F.count(F.lit(1)).alias("copies"))
-    total = sum(sizes[c] for c, _ in slots)
-    placed = running_sums(counts, ["key"], {"before": "copies"}, ["slot"], max_task_rows,
-                          total if total <= max_task_rows else None)
     place = [(sizes[c] - 1) * probs[i] for c, i in slots]
-    spots = F.array(*[F.lit(float(x)) for x in place])[F.col("slot")]
+    values = [held[c] for c, _ in slots]
+    counts = df.agg(*[F.count_if(v < F.lit(brackets[s][0])).alias(f"b_{k}") for k, (s, v) in enumerate(zip(slots, values))],
+                    *[F.count_if(v <= F.lit(brackets[s][1])).alias(f"u_{k}") for k, (s, v) in enumerate(zip(slots, values))]
+                    ).first()
+    out, ranked = {}, []
+    for k, slot in enumerate(slots):
+        if not counts[f"b_{k}"] <= math.floor(place[k]) <= math.ceil(place[k]) < counts[f"u_{k}"]:
+            continue  # not in its bracket
+        low, high = brackets[slot]
+        if low == high:
+            out[slot] = low
+        else:
+            ranked.append(k)
+    if not ranked:
+        return out
+
+    inside = {k: (values[k] >= F.lit(brackets[slots[k]][0])) & (values[k] <= F.lit(brackets[slots[k]][1])) for k in ranked}
+    entries = [F.struct(F.lit(k).alias("slot"), F.when(inside[k], values[k]).alias("key")) for k in ranked]
+    few = df.where(reduce(or_, inside.values())).select(F.inline(F.array(*entries))).where(F.col("key").isNotNull())
+    keys = few.groupBy("slot", "key").agg(F.count(F.lit(1)).alias("copies"))
+    total = sum(counts[f"u_{k}"] - counts[f"b_{k}"] for k in ranked)
+    placed = running_sums(keys, ["key"], {"before": "copies"}, ["slot"], max_task_rows,
+                          total if total <= max_task_rows else None)
+    spots = {k: place[k] - counts[f"b_{k}"] for k in ranked}
+    spot = F.element_at(F.create_map(*[F.lit(x) for k in ranked for x in (k, float(spots[k]))]), F.col("slot"))
 
-    def at(spot: Column) -> Column:
-        return F.max(F.when((F.col("before") <= spot) & (spot < F.col("before") + F.col("copies")), F.col("key")))
+    def at(x: Column) -> Column:
+        return F.max(F.when((F.col("before") <= x) & (x < F.col("before") + F.col("copies")), F.col("key")))
 
-    picked = placed.groupBy("slot").agg(at(F.floor(spots)).alias("low"), at(F.ceil(spots)).alias("high")).collect()
-    out = {}
-    for r in picked:
+    for r in placed.groupBy("slot").agg(at(F.floor(spot)).alias("low"), at(F.ceil(spot)).alias("high")).collect():
+        x = place[r["slot"]]
         low, high = r["low"], r["high"]
-        if low is not None and high is not None and low >= brackets[slots[r["slot"]]][0]:
-            x = place[r["slot"]]
-            out[slots[r["slot"]]] = low if low == high else low + (high - low) * (x - int(x))
+        out[slots[r["slot"]]] = low if low == high else low + (high - low) * (x - int(x))
     return out
