@@ -6,6 +6,7 @@ import math
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -116,6 +117,22 @@ def expand(df: DataFrame, n_trials: int) -> DataFrame:
     return df.withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(n_trials - 1))))
 
 
+def per_trial(df: DataFrame, trials: Sequence[int], sums: Callable[[int], Mapping[str, Column]], groups: Sequence[str] = (),
+              at_once: int = 32) -> DataFrame:
+    """One row ``groups, trial, <sums>`` per trial; ``sums`` names the aggregates of a trial.
+
+    All trials are aggregates of one pass, so no row is multiplied and a task sends one row per group. Beyond
+    ``at_once`` trials further passes keep the generated code small. A group needs a row in ``df``; without groups
+    every trial has its row.
+    """
+    parts = []
+    for start in range(0, len(trials), at_once):
+        some = [F.struct(F.lit(t).alias("trial"), *[c.alias(name) for name, c in sums(t).items()]) for t in trials[start:start + at_once]]
+        wide = df.groupBy(*groups).agg(F.array(*some).alias("_trials"))
+        parts.append(wide.select(*groups, F.inline("_trials")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def draws(df: DataFrame, key: str | Column, space: Mapping[str, Param], seed: int = 2025) -> DataFrame:
     """Add one column per parameter, drawn from the row's key."""
     key = F.col(key) if isinstance(key, str) else key

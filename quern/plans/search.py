@@ -88,11 +88,12 @@ SELECT CAST(trial AS INTEGER) AS trial, count(*) AS rows, count(*) FILTER (l_dis
 FROM lineitem, range(8) r(trial) GROUP BY 1""")
 def trials_cross_data(spark, sf):
     """Every trial sees every row; each counts the rows below its own threshold."""
-    every = trials.expand(load(spark, sf, "lineitem").select("l_discount", "l_quantity"), 8)
-    hit = F.col("l_discount") < F.col("trial") / 100.0
-    return every.groupBy("trial").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(hit.cast("long")).alias("below"),
-        F.round(F.sum(F.when(hit, F.col("l_quantity")).otherwise(0.0)), 2).alias("quantity"))
+    def sums(trial):
+        hit = F.col("l_discount") < F.lit(trial) / 100.0
+        return {"rows": F.count(F.lit(1)), "below": F.count_if(hit),
+                "quantity": F.round(F.sum(F.when(hit, F.col("l_quantity")).otherwise(0.0)), 2)}
+
+    return trials.per_trial(load(spark, sf, "lineitem").select("l_discount", "l_quantity"), range(8), sums)
 
 
 @query("trial_params_long", f"""

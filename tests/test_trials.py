@@ -222,3 +222,17 @@ def test_an_option_with_few_trials_is_a_draw(spark):
                                 "g string, o int, loss double, trial int")
     got = {r["g"]: r["o"] for r in trials.suggest_option(log, "g", "o", "loss", "trial", 3).collect()}
     assert set(got) == {"few", "many"} and got["few"] in (0, 1, 2) and got["many"] == 0
+
+
+def test_trials_in_one_aggregation(spark):
+    rows = spark.range(1000).selectExpr("id % 3 AS g", "CAST(id AS DOUBLE) / 1000 AS x")
+    sums = lambda t: {"n": F.count_if(F.col("x") < t / 50.0), "total": F.sum(F.when(F.col("x") < t / 50.0, F.lit(1)))}
+    for groups in ([], ["g"]):
+        got = trials.per_trial(rows, range(50), sums, groups, at_once=20)
+        plain = trials.expand(rows, 50).groupBy(*groups, "trial").agg(
+            F.sum((F.col("x") < F.col("trial") / 50.0).cast("long")).alias("n"),
+            F.sum(F.when(F.col("x") < F.col("trial") / 50.0, F.lit(1))).alias("total"))
+        assert sorted(map(str, got.collect())) == sorted(map(str, plain.select(got.columns).collect()))
+    plan = trials.per_trial(rows, range(8), sums)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("HashAggregate")  # rows are added up before trials become rows
+    assert [r.n for r in trials.per_trial(rows.limit(0), range(2), sums).collect()] == [0, 0]
