@@ -22,8 +22,10 @@ def scan_count(spark, sf):
     return load(spark, sf, "lineitem").groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("rows"))
 
 
-SYNTH_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus"]
-SYNTH_STEPS = {"l_extendedprice": 100, "l_discount": 0.01}
+SYNTH_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                 "l_returnflag", "l_linestatus", "l_shipdate"]
+SYNTH_STEPS = {"l_extendedprice": 100, "l_discount": 0.01, "l_tax": 0.01}
+SYNTH_WHOLE, SYNTH_DOUBLES, SYNTH_TEXTS = SYNTH_COLUMNS[:4], SYNTH_COLUMNS[4:8], SYNTH_COLUMNS[8:10]
 
 
 def synthetic(spark, sf):
@@ -32,10 +34,9 @@ def synthetic(spark, sf):
     return synth.synth_table(spark, load(spark, sf, "orders").count(), spec)
 
 
-def _sql_step(name, step):
+def _sql_step(name, step=1):
     u = sql_uniform(2025, "i", name)
-    return (f"round(lo_{name} + {float(step)}::DOUBLE * floor({u} * (floor((hi_{name} - lo_{name}) / {float(step)} + 1e-9) + 1)), 4)"
-            f" AS {name}")
+    return f"lo_{name} + {float(step)}::DOUBLE * floor({u} * (floor((hi_{name} - lo_{name}) / {float(step)} + 1e-9) + 1))"
 
 
 def _sql_pick(name):
@@ -43,24 +44,28 @@ def _sql_pick(name):
 
 
 SYNTH_SQL = f"""
-spec AS (SELECT {', '.join(f'min({c}) AS lo_{c}, max({c}) AS hi_{c}' for c in SYNTH_COLUMNS[:3])},
-         {', '.join(f'list_sort(list(DISTINCT {c})) AS d_{c}' for c in SYNTH_COLUMNS[3:])} FROM lineitem),
-synth AS (SELECT i AS row_id, {_sql_step('l_quantity', 1)}, {_sql_step('l_extendedprice', 100)},
-          {_sql_step('l_discount', 0.01)}, {_sql_pick('l_returnflag')}, {_sql_pick('l_linestatus')}
-          FROM spec, range((SELECT count(*) FROM orders)) r(i))
+days AS (SELECT * REPLACE (date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS l_shipdate) FROM lineitem),
+spec AS (SELECT {', '.join(f'min({c}) AS lo_{c}, max({c}) AS hi_{c}' for c in [*SYNTH_WHOLE, *SYNTH_DOUBLES, 'l_shipdate'])},
+         {', '.join(f'list_sort(list(DISTINCT {c})) AS d_{c}' for c in SYNTH_TEXTS)} FROM days),
+synth AS (SELECT i AS row_id,
+  {', '.join(f'CAST({_sql_step(c)} AS {"INTEGER" if c == "l_linenumber" else "BIGINT"}) AS {c}' for c in SYNTH_WHOLE)},
+  {', '.join(f'round({_sql_step(c, SYNTH_STEPS.get(c, 1))}, 4) AS {c}' for c in SYNTH_DOUBLES)},
+  {', '.join(_sql_pick(c) for c in SYNTH_TEXTS)},
+  CAST(DATE '1970-01-01' + CAST({_sql_step('l_shipdate')} AS INTEGER) AS TIMESTAMP) AS l_shipdate
+  FROM spec, range((SELECT count(*) FROM orders)) r(i))
 """
 
 
 @query("synth_rows", f"WITH {SYNTH_SQL} SELECT * FROM synth")
 def synth_rows(spark, sf):
     rows = synthetic(spark, sf)
-    return rows.withColumns({c: F.round(c, 4) for c in SYNTH_COLUMNS[:3]})
+    return rows.withColumns({c: F.round(c, 4) for c in SYNTH_DOUBLES})
 
 
 @query("union_real_synth", f"""
 WITH {SYNTH_SQL}
-SELECT 'real' AS origin, l_quantity, l_extendedprice, l_discount, l_returnflag, l_linestatus FROM lineitem
-UNION ALL SELECT 'synthetic', l_quantity, l_extendedprice, l_discount, l_returnflag, l_linestatus FROM synth""")
+SELECT 'real' AS origin, {', '.join(SYNTH_COLUMNS)} FROM lineitem
+UNION ALL SELECT 'synthetic', {', '.join(SYNTH_COLUMNS)} FROM synth""")
 def union_real_synth(spark, sf):
     real = load(spark, sf, "lineitem").select(F.lit("real").alias("origin"), *SYNTH_COLUMNS)
     return clean.append(real, synth_rows(spark, sf).drop("row_id").withColumn("origin", F.lit("synthetic")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,14 +11,15 @@ from pyspark.sql import functions as F
 from quern.functions import hashing, ordering
 
 MAX_LITERAL_VALUES = 1000
+EPOCH = datetime.date(1970, 1, 1)
 
 
 def synth_table(spark: SparkSession, rows: int, spec: Mapping[str, dict], seed: int = 2025,
                 partitions: int | None = None) -> DataFrame:
     """``rows`` random rows ``row_id, <spec columns>``.
 
-    A column is ``{"min", "max", "step"}`` (a double), ``{"values": [...]}`` or
-    ``{"domain": frame}`` with one column of distinct values; the last kind may have any size and is
+    A column is ``{"min", "max", "step"}`` (a double, or of its ``"type"``; days since 1970 for dates and
+    timestamps), ``{"values": [...]}`` or ``{"domain": frame}`` with one column of distinct values; the last kind may have any size and is
     joined by position.
     """
     out = spark.range(0, rows, 1, partitions).withColumnRenamed("id", "row_id") if partitions \
@@ -31,7 +33,11 @@ def synth_table(spark: SparkSession, rows: int, spec: Mapping[str, dict], seed:
             picked = hashing.pick(u, column["values"])
             exprs[name] = picked.cast(column["type"]) if "type" in column else picked
         else:
-            exprs[name] = hashing.stepped(u, column["min"], column["max"], column.get("step", 1))
+            number = hashing.stepped(u, column["min"], column["max"], column.get("step", 1))
+            kind = column.get("type", "double")
+            if kind in ("date", "timestamp", "timestamp_ntz"):
+                number = F.date_add(F.lit(EPOCH), number.cast("int"))
+            exprs[name] = number.cast(kind)
     out = out.withColumns(exprs)
     for name, domain, u in joins:
         source = domain.columns[0]
@@ -44,22 +50,30 @@ def synth_table(spark: SparkSession, rows: int, spec: Mapping[str, dict], seed:
 
 def synth_spec_from(df: DataFrame, exclude: tuple[str, ...] = (), steps: Mapping[str, float] | None = None,
                     max_literal: int = MAX_LITERAL_VALUES) -> dict[str, dict]:
-    """Specification with the ranges of the numeric columns and the domains of the string columns."""
+    """Specification with the ranges of numeric and date columns and the domains of string columns.
+
+    Whole numbers and dates keep their type; a timestamp is drawn as the start of a day.
+    """
     steps = steps or {}
-    numeric = [f.name for f in df.schema.fields if f.name not in exclude
-               and f.dataType.typeName() in ("double", "float", "integer", "long", "short")]
-    strings = [f.name for f in df.schema.fields if f.name not in exclude and f.dataType.typeName() == "string"]
+    types = {f.name: f.dataType.typeName() for f in df.schema.fields if f.name not in exclude}
+    numeric = [n for n, t in types.items() if t in ("double", "float", "integer", "long", "short")]
+    times = [n for n, t in types.items() if t in ("date", "timestamp", "timestamp_ntz")]
+    strings = [n for n, t in types.items() if t == "string"]
     bounds = df.agg(*[F.min(c).alias(f"lo_{c}") for c in numeric], *[F.max(c).alias(f"hi_{c}") for c in numeric],
+                    *[f(F.date_diff(F.col(c).cast("date"), F.lit(EPOCH))).alias(f"{x}_{c}")
+                      for c in times for x, f in (("lo", F.min), ("hi", F.max))],
                     *[F.approx_count_distinct(c).alias(f"n_{c}") for c in strings]).first()
     spec: dict[str, dict] = {}
     for field in df.schema.fields:
         name = field.name
-        if name in numeric:
+        if name in numeric or name in times:
             if bounds[f"lo_{name}"] is None:
-                spec[name] = {"values": [None], "type": "double"}
+                spec[name] = {"values": [None], "type": "double" if name in numeric else types[name]}
             else:
                 spec[name] = {"min": float(bounds[f"lo_{name}"]), "max": float(bounds[f"hi_{name}"]),
                               "step": steps.get(name, 1)}
+                if types[name] not in ("double", "float"):
+                    spec[name]["type"] = types[name]
         elif name in strings:
             domain = df.select(name).where(F.col(name).isNotNull()).distinct()
             if bounds[f"n_{name}"] > max_literal:

@@ -135,6 +135,20 @@ def test_synthetic_spec_and_rows(spark):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, synth.synth_table(spark, 4000, spec, partitions=3).collect()))
 
 
+def test_synthetic_whole_numbers_and_days_keep_their_type(spark):
+    df = spark.sql("SELECT * FROM VALUES (3L, 1, DATE '2020-02-27', TIMESTAMP '2020-01-01 10:00:00'), "
+                   "(5L, 2, DATE '2020-03-01', TIMESTAMP '2020-01-02 00:00:00'), (null, null, null, null) t(a, b, day, at)")
+    out = synth.synth_table(spark, 400, synth.synth_spec_from(df))
+    assert [f.dataType for f in out.schema.fields[1:]] == [f.dataType for f in df.schema.fields]
+    rows = out.collect()
+    assert {r["a"] for r in rows} == {3, 4, 5} and {r["b"] for r in rows} == {1, 2}
+    assert {r["day"] for r in rows} == {datetime.date(2020, 2, d) for d in (27, 28, 29)} | {datetime.date(2020, 3, 1)}
+    assert {r["at"] for r in rows} == {datetime.datetime(2020, 1, d) for d in (1, 2)}
+    empty = synth.synth_spec_from(df.where("a is null"))
+    assert all(v["values"] == [None] for v in empty.values())
+    assert synth.synth_table(spark, 2, empty).schema["day"].dataType == df.schema["day"].dataType
+
+
 def test_wav_mono_and_stereo(spark, tmp_path):
     wav(tmp_path / "mono.wav", [0, 16384, -32768, 32767], 1)
     wav(tmp_path / "stereo.wav", [0, 16384, -32768, 32767], 2)
