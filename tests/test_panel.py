@@ -97,6 +97,19 @@ def test_regularize_series_without_values(spark):
     assert panel.regularize(df, ["ID"], drop_missing=True).count() == 0
 
 
+def test_regular_days_and_lags_are_made_where_the_series_is(spark):
+    """One shuffle, no sort of the long rows; the lags are those of ``add_lags``."""
+    rows = [(s, 7 * s, day(i), None if i % 4 == 1 else float(i * s)) for s in range(1, 4) for i in range(0, 60, s + 2)]
+    df = spark.createDataFrame(rows, "ID int, rank int, ds date, y double")
+    got = panel.regularize(df, ["ID"], 1, 4, lags=2, keep=["rank"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Generate" not in plan
+    want = panel.add_lags(panel.regularize(df, ["ID"], 1, 4), ["ID"], 2).orderBy("ID", "ds").collect()
+    out = got.orderBy("ID", "ds").collect()
+    assert [(r.ID, r.ds, r.y, r.y_filled, r.lag_1, r.lag_2) for r in out] == [tuple(r) for r in want]
+    assert all(r["rank"] == 7 * r.ID for r in out) and any(r.y_filled is None for r in out)
+
+
 def test_lags_trend_and_weights(spark):
     df = spark.createDataFrame([(1, 1, day(i), float(i)) for i in range(21)], "model_num bigint, ID int, ds date, y double")
     lagged = {r["ds"]: r for r in panel.add_lags(df, ["ID"], value="y").collect()}
