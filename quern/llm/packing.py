@@ -12,9 +12,12 @@ from __future__ import annotations
 import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from quern.llm.bpe import KEPT, encoder
+from quern.llm.bpe import KEPT, PairEncoder, encoder
 
 CAPACITY = 2048
 END_ID = 1
@@ -22,6 +25,18 @@ END_ID = 1
 SLACK = 16
 
 
+#: Bytes of text that are encoded together, apart from the last text of them.
+TOGETHER = 1 << 21
+
+
+def parts_of(batch: pa.RecordBatch, size: int = TOGETHER) -> Iterator[pa.RecordBatch]:
+    """Slices of ``batch`` with some ``size`` bytes of the second column each."""
+    length = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64)
+    cuts = np.flatnonzero(np.diff((length.cumsum() - length) // size, prepend=-1)).tolist() + [batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        yield batch.slice(a, b - a)
+
+
 class Bins:
     """The open bins of one worker; closed ones come out as lists of pieces ``(document, start, length)``.
 
@@ -72,8 +87,6 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, slack: int = SLAC
     so a null or empty text is one piece of one token.  Every row of ``docs`` is packed, repeated ones and
     those with a null id too; other columns are not looked at.  An empty table gives an empty table.
     """
-    import pyarrow as pa
-
     if capacity & capacity - 1:
         raise ValueError("the capacity must be a power of two")
     end = int(end_id).to_bytes(4, "little")
@@ -83,7 +96,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, slack: int = SLAC
 
         # a document is its id, ids from some token on, that token, and how many it has in all
         own = lambda doc, start, length: (doc[0], doc[1][4 * start:4 * (start + length)], start, doc[3])
-        coder, bins = encoder(path, with_text=False, kept=kept), Bins(capacity, slack, own)
+        coder, bins = encoder(path, PairEncoder, kept), Bins(capacity, slack, own)
         at = TaskContext.get().partitionId() << 40
         rows: list[tuple] = []
 
@@ -105,13 +118,14 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, slack: int = SLAC
             if schema is None:
                 fields = [("doc_id", batch.schema.field(0).type)] + [(n, pa.int64()) for n in NAMES[1:]]
                 schema = pa.schema(fields + [("ids", pa.list_(pa.int32()))] * with_ids)
-            for doc, text in zip(batch.column(0), batch.column(1)):
-                ids = coder.ids_bytes(text.as_py()) + end
-                for sequence in bins.add(((doc.as_py(), ids, 0, len(ids) // 4), 0, len(ids) // 4)):
-                    put(sequence)
-                if len(rows) >= 10_000:
-                    yield batch_of(rows)
-                    rows.clear()
+            for part in parts_of(batch):
+                for doc, ids in zip(part.column(0).to_pylist(), coder.ids_of_texts(part.column(1).to_pylist())):
+                    ids += end
+                    for sequence in bins.add(((doc, ids, 0, len(ids) // 4), 0, len(ids) // 4)):
+                        put(sequence)
+                    if len(rows) >= 10_000:
+                        yield batch_of(rows)
+                        rows.clear()
         for sequence in bins.close():
             put(sequence)
         if rows:

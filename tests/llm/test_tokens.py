@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from quern.llm import bpe, fingerprint, packing, queries
@@ -60,6 +61,35 @@ def test_memory_bound_changes_nothing(monkeypatch):
     assert coder.encode(text) == ids_of(text) and coder.encode(text) == ids_of(text)
 
 
+def test_many_texts_at_once(monkeypatch):
+    draw, single = random.Random(5), []
+    signs = list("abcdefghi ABC\t\n\x1c\x85\xa0'stredmvl0123²Ⅷéèñß中文İΣςͅ😀…—“” ﬁ!?.") + ["<|endoftext|>", "<|startoftext|>", "'re", "the", "ing"]
+    texts = ["".join(draw.choice(signs) for _ in range(draw.randint(0, 50))) for _ in range(2000)]
+    texts += ["".join(draw.choice("abcdetionsr") for _ in range(draw.randint(1, 90))) for _ in range(2000)]
+    texts += ["a" * k for k in range(150)] + ["!" * k for k in range(80)] + ["", "\t\n"]
+    ids = [e.ids for e in TOKENIZER.encode_batch(texts, add_special_tokens=False)]
+    wanted = [np.array(i, "<u4").tobytes() for i in ids]
+    one_by_one = bpe.PairEncoder.word_ids
+    monkeypatch.setattr(bpe.PairEncoder, "word_ids", lambda self, word: single.append(word) or one_by_one(self, word))
+    plain = [k for k, t in enumerate(texts) if "<|" not in t and all(len(w.encode()) <= 32 for w in t.split())]
+    assert len(plain) > 1000
+    coder = bpe.PairEncoder(PATH)
+    assert list(coder.ids_of_texts([texts[k] for k in plain])) == [wanted[k] for k in plain] and not single
+    assert list(coder.ids_of_texts(texts)) == wanted and single
+    few = bpe.PairEncoder(PATH, kept=7)
+    assert [b for t in texts for b in few.ids_of_texts([t])] == wanted and list(few.ids_of_texts([])) == []
+    assert list(few.ids_of_texts([None, "the"])) == [b"", np.array(ids_of("the"), "<u4").tobytes()]
+
+
+def test_slices_of_a_batch():
+    texts = ["x" * 10, None, "", "y" * 50, "z" * 3, None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(texts)], ["doc_id", "text"])
+    for size in (1, 12, 1000):
+        parts = list(packing.parts_of(batch, size))
+        assert [t for p in parts for t in p.column(1).to_pylist()] == texts and (len(parts) == 1) == (size == 1000)
+    assert list(packing.parts_of(batch.slice(0, 0))) == []
+
+
 def check_pieces(rows, texts, capacity=2048):
     """Every id once, gapless sequences; returns the padding."""
     docs, sequences = defaultdict(list), defaultdict(list)
