@@ -74,3 +74,22 @@ def test_match_keys_joins_null_to_null(spark):
     left = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
     right = spark.createDataFrame([(None, 10), ("a", 20)], "k string, w int")
     assert sorted(r["w"] for r in joins.match_keys(left, right, ["k"]).collect()) == [10, 20]
+
+
+def test_keys_of_several_columns_are_matched_by_a_hash_first(spark):
+    left = spark.createDataFrame([(1, "a", 10), (1, None, 20), (None, None, 30), (2, "a", 40), (1, "a", 50)], "k int, t string, v int")
+    right = spark.createDataFrame([(1, "a", "x"), (1, None, "y"), (None, None, "z"), (None, "a", "no")], "k int, t string, w string")
+    for limit in ("-1", "10485760"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            out = joins.match_keys(left, right, ["k", "t"])
+            assert out.columns == ["k", "t", "v", "w"]
+            assert sorted((r.v, r.w) for r in out.collect()) == [(10, "x"), (20, "y"), (30, "z"), (50, "x")]
+            plan = out._jdf.queryExecution().optimizedPlan().toString()
+            assert "xxhash64" in plan
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # equal numbers with other bits, and keys of two types, are matched as before
+    zero = spark.createDataFrame([(0.0, 1, 1)], "d double, k int, v int")
+    other = spark.createDataFrame([(-0.0, 1, 2)], "d double, k bigint, w int")
+    assert joins.match_keys(zero, other, ["d", "k"]).count() == 1

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quern.operators import panel, trials
+from quern.plans import standins
 from quern.sources import tables
 
 DAY = datetime.date(2020, 1, 1)
@@ -242,3 +243,36 @@ def test_fold_groups_merges_states_of_a_hot_group(spark):
     assert fold(rows.limit(0)).count() == 0
     plan = fold(rows)._jdf.queryExecution().executedPlan().toString()
     assert "MapInPandas" in plan and plan.index("MapInPandas") > plan.index("Exchange")
+
+
+def test_price_join_keeps_nulls_and_columns(spark):
+    rows = spark.createDataFrame([("i", 1, 5.0), ("i", None, 6.0), (None, 1, 7.0), ("j", 1, 8.0)], "item string, week int, q double")
+    prices = spark.createDataFrame([("i", 1, 2.0), ("i", None, 3.0), (None, 1, 4.0), ("i", 1, 9.0)], "item string, week int, price double")
+    out = panel.attach_price(rows, prices, ["week", "item"])
+    assert out.columns == ["week", "item", "q", "price"]
+    assert sorted((r.q, r.price or 0) for r in out.collect()) == [(5.0, 2.0), (5.0, 9.0), (6.0, 0), (7.0, 0), (8.0, 0)]
+    assert "xxhash64" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_wide_sales_move_rows_once(spark, tmp_path):
+    dates = [datetime.datetime(1995, 1, 2, 7), datetime.datetime(1995, 3, 31), datetime.datetime(1996, 12, 31), None]
+    lines = [(k % 5, k % 3, None if k == 7 else float(k % 11), dates[k % 4]) for k in range(60)]
+    for name, rows, schema in (
+            ("lineitem", lines, "l_partkey long, l_suppkey long, l_quantity double, l_shipdate timestamp"),
+            ("part", [(k, f"b{k % 2}", None if k == 4 else "t", 1.0 * k) for k in range(5)],
+             "p_partkey long, p_brand string, p_type string, p_retailprice double"),
+            ("supplier", [(0, 1), (1, None), (2, 1)], "s_suppkey long, s_nationkey int")):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert {tuple(r) for r in standins.calendar(spark, str(tmp_path)).collect()} == {
+        ("1995Q1", 199501, datetime.date(1995, 1, 1)), ("1996Q4", 199604, datetime.date(1996, 10, 1)), (None, None, None)}
+    labels = [None, "1995Q1", "1996Q4"]
+    wide = standins.sales_wide(spark, str(tmp_path))
+    given = standins._sales(spark, str(tmp_path)).groupBy(*standins.IDS).pivot("d", labels).agg(F.sum("l_quantity")).fillna(0.0, ["null", *labels[1:]])
+    assert given.columns == wide.columns == [*standins.IDS, "null", *labels[1:]]
+    assert sorted(map(str, given.collect())) == sorted(map(str, wide.collect()))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = standins.sales_wide(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert plan.count("Exchange hashpartitioning(item_id") == 1
