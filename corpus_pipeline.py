@@ -35,8 +35,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # workers of the stages before hold memory, too
-    return packing.pack(docs, public_tokenizers.path(TOKENIZER), kept=200_000)
+    # workers of the stages before hold memory, too, and those of this one may go on with another
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER), kept=200_000, remember=False)
 
 
 STAGES = [("toxicity", drop_toxic), ("quality", drop_poor), ("near_copies", drop_near_copies),

@@ -79,11 +79,12 @@ class Bins:
 
 
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, slack: int = SLACK, end_id: int = END_ID,
-         id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, kept: int = KEPT) -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, kept: int = KEPT,
+         remember: bool = True) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
     ``with_ids`` adds the piece's ids.  ``kept`` is how many pieces of text a worker remembers: fewer take less memory
-    and more time.  ``capacity`` is a power of two.  Every document ends with ``end_id``,
+    and more time.  Without ``remember`` the worker gives them back at the end of a task.  ``capacity`` is a power of two.  Every document ends with ``end_id``,
     so a null or empty text is one piece of one token.  Every row of ``docs`` is packed, repeated ones and
     those with a null id too; other columns are not looked at.  An empty table gives an empty table.
     """
@@ -96,7 +97,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, slack: int = SLAC
 
         # a document is its id, ids from some token on, that token, and how many it has in all
         own = lambda doc, start, length: (doc[0], doc[1][4 * start:4 * (start + length)], start, doc[3])
-        coder, bins = encoder(path, PairEncoder, kept), Bins(capacity, slack, own)
+        coder, bins = encoder(path, PairEncoder, kept) if remember else PairEncoder(path, kept), Bins(capacity, slack, own)
         at = TaskContext.get().partitionId() << 40
         rows: list[tuple] = []
 

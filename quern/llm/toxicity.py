@@ -14,6 +14,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -240,18 +241,19 @@ def train(texts: Sequence[str | None], labels: Sequence[int], rounds: int = ROUN
     return network
 
 
-def score_texts(network: Network | None, texts: Sequence[str | None]) -> np.ndarray:
-    """The highest window score of every text; 0 without a network."""
-    out = np.zeros(len(texts))
+def score_texts(network: Network | None, texts: Sequence[str | None] | pa.Array) -> np.ndarray:
+    """The highest window score of every text; 0 without a network.  A column is read as strings a chunk at a time."""
+    column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+    out = np.zeros(len(column))
     if network is None:
         return out
-    at = 0
-    while at < len(texts):
+    at, length = 0, pc.fill_null(pc.utf8_length(column), 0).to_pylist()
+    while at < len(column):
         end, size = at, 0
-        while end < len(texts) and (end == at or size + len(texts[end] or "") <= CHUNK):
-            size += len(texts[end] or "")
+        while end < len(column) and (end == at or size + length[end] <= CHUNK):
+            size += length[end]
             end += 1
-        lexicon, windows, owner = number_texts(texts[at:end])
+        lexicon, windows, owner = number_texts(column.slice(at, end - at).to_pylist())
         logits = network.logits(lexicon, windows)
         out[at:end] = logistic(np.maximum.reduceat(logits, np.searchsorted(owner, np.arange(end - at))).astype(float))
         at = end
@@ -297,7 +299,7 @@ def toxicity(docs: DataFrame, network: Network | None, threshold: float = THRESH
             own = Network.__new__(Network)
             own.p = weights
         for batch in batches:
-            scores = score_texts(own, batch.column(2).to_pylist())
+            scores = score_texts(own, batch.column(2))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores, pa.float64())],
                                              ["doc_id", "held_out", "score"])
 
@@ -317,7 +319,7 @@ def keep_harmless(docs: DataFrame, network: Network | None, threshold: float = T
         own = Network.__new__(Network)
         own.p = weights
         for batch in batches:
-            scores = score_texts(own, batch.column(at).to_pylist())
+            scores = score_texts(own, batch.column(at))
             yield batch.filter(pa.array(scores < threshold))
 
     return docs.mapInArrow(run, docs.schema)

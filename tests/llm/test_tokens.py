@@ -128,6 +128,13 @@ def test_packing_odd_rows(odd, none):
     assert packing.pack(none, PATH).count() == 0
 
 
+def test_forgetting_changes_nothing(odd):
+    assert sorted(map(str, packing.pack(odd, PATH, remember=False).collect())) == sorted(map(str, packing.pack(odd, PATH).collect()))
+    before = dict(bpe._ENCODERS)
+    packing.pack(odd, PATH, remember=False).count()
+    assert bpe._ENCODERS == before
+
+
 def test_bins_hold_a_fixed_count():
     bins, closed = packing.Bins(64, 2), []
     for k in range(1000):
